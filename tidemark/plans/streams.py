@@ -1,2 +1,316 @@
-QUERIES = {}
-SQL = {}
+"""Streaming forms, run over what the tables hold now.
+
+A query that appends only closed windows is checked with the same cut in SQL (see `runner`).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.eventtime import to_stream_time, to_table_time
+from tidemark.functions.text import is_page_url, words
+from tidemark.operators.clicks import click_counts, count_fields
+from tidemark.operators.counting import word_count
+from tidemark.operators.matching import interval_join
+from tidemark.operators.ranking import top_keys
+from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
+from tidemark.plans import market, orders, sensors, traffic
+from tidemark.plans.common import item, sliding_sql, url_of
+from tidemark.plans.market import THRESHOLD, places
+from tidemark.plans.traffic import HOT_URL_COUNTS, top_sql
+from tidemark.plans.wordcounts import TIMED_WORDS_SQL, WORD_COUNT_SQL
+from tidemark.sinks.keyed import set_add_writer, write_batch
+from tidemark.sources.tables import stream_table
+from tidemark.streaming import counts as live
+from tidemark.streaming.runner import last_batch, run_to_table, use_rocksdb
+from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
+from tidemark.streaming.watermarks import ascending, bounded
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    return to_stream_time(stream_table(spark, sf, "events"), "ts")
+
+
+def view_events(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).where(F.col("event_type") == "view").select(
+        "event_id", "ts", "user_id", item().alias("item_id")
+    )
+
+
+def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    stream = word_count(stream_table(spark, sf, "documents"), "text")
+    return last_batch(run_to_table(stream, "word-count", "update"), ["word"])
+
+
+def stream_batch_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of each micro-batch on its own; the table arrives as one batch here."""
+    tokens = stream_table(spark, sf, "documents").select(words(F.col("text")).alias("word"))
+
+    def writer(path):
+        def write(df: DataFrame, batch_id: int) -> None:
+            write_batch(df.groupBy("word").agg(F.count("*").alias("n")), path, batch_id)
+
+        return write
+
+    rows = run_to_table(tokens, "batch-words", schema="word string, n bigint", writer=writer)
+    return rows.select("batch", "word", "n")
+
+
+def stream_windowed_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    second = F.date_trunc("second", "ts")
+    timed = events(spark, sf).select(
+        second.alias("ts"),
+        F.explode(
+            F.array(
+                "event_type", F.concat(F.lit("user"), (F.col("user_id") % 3).cast("string"))
+            )
+        ).alias("word"),
+    )
+    counts = sliding_counts(
+        bounded(timed, "ts", "2 minutes"), "ts", "10 minutes", "2 minutes", ["word"]
+    )
+    rows = run_to_table(counts, "timed-words").drop("batch")
+    return to_table_time(rows, "window_start", "window_end")
+
+
+def stream_page_view(spark: SparkSession, sf: str) -> DataFrame:
+    counts = tumbling(ascending(view_events(spark, sf), "ts"), "ts", "1 hour")
+    rows = run_to_table(counts, "page-view").select("window_end", "n")
+    return to_table_time(rows, "window_end")
+
+
+def stream_hot_items(spark: SparkSession, sf: str) -> DataFrame:
+    """All items of a window close in the same batch, so each batch is ranked on its own."""
+    counts = sliding_counts(
+        ascending(view_events(spark, sf), "ts"), "ts", "1 hour", "5 minutes", ["item_id"]
+    )
+    rows = run_to_table(
+        counts,
+        "hot-items",
+        transform=lambda df: top_keys(df, ["window_end"], "item_id", 3).select(
+            "window_end", "rank", "item_id", "n"
+        ),
+        schema="window_end timestamp, rank int, item_id bigint, n bigint",
+    ).drop("batch")
+    return to_table_time(rows, "window_end")
+
+
+def stream_hot_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts are updated while late rows may still come; the report takes the last ones."""
+    size, slide = "10 minutes", "5 seconds"
+    pages = view_events(spark, sf).select("ts", url_of("event_id", F.col("item_id")).alias("url"))
+    on_time = bounded(pages.where(is_page_url(F.col("url"))), "ts", "1 second", "1 minute")
+    panes = live.pane_counts(on_time, "ts", size, slide, ["url"])
+    current = last_batch(run_to_table(panes, "hot-urls", "update"), ["url", "pane_start"])
+    counts = live.windows_of_panes(current, size, slide, ["url"])
+    top = top_keys(counts, ["window_end"], "url", 5).select("window_end", "rank", "url", "n")
+    return to_table_time(top, "window_end")
+
+
+def stream_uv(spark: SparkSession, sf: str) -> DataFrame:
+    visitors = live.new_visitors(
+        ascending(view_events(spark, sf), "ts"), "ts", "user_id", "1 hour"
+    )
+    rows = run_to_table(
+        visitors,
+        "uv",
+        schema="window_end timestamp, n bigint",
+        writer=lambda path: live.increment_writer(path, ["window_end"]),
+    )
+    return to_table_time(live.sum_increments(rows, ["window_end"]), "window_end")
+
+
+def stream_sensor_minby(spark: SparkSession, sf: str) -> DataFrame:
+    readings = events(spark, sf).select(
+        "event_id", "ts", "user_id", F.col("value").alias("temperature")
+    )
+    best = sliding_first_by(
+        bounded(readings, "ts", "1 second"),
+        "ts",
+        "6 hours",
+        "1 hour",
+        ["user_id"],
+        ["temperature", "ts", "event_id"],
+        [],
+    )
+    rows = run_to_table(best, "minby").drop("batch", "window_start")
+    return to_table_time(rows, "window_end", "ts")
+
+
+def stream_temp_jump(spark: SparkSession, sf: str) -> DataFrame:
+    jumps = temperature_jumps_stream(
+        bounded(events(spark, sf), "ts", "1 hour"), "user_id", "ts", "event_id", "value"
+    )
+    return to_table_time(run_to_table(jumps, "temp-jump").drop("batch"), "ts")
+
+
+def order_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Creates, and every line of an order as a pay."""
+    creates = stream_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.lit("create").alias("event_type"),
+        F.col("o_orderdate").alias("ts"),
+    )
+    pays = stream_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.lit("pay").alias("event_type"),
+        F.col("l_shipdate").alias("ts"),
+    )
+    return to_stream_time(creates.unionByName(pays), "ts")
+
+
+def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
+    stream = bounded(order_streams(spark, sf), "ts", "1 hour")
+    states = order_states_stream(stream, "order_id", "ts", "event_type", "90 days", "400 days")
+    return run_to_table(states, "order-pay").drop("batch")
+
+
+def matched_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    pays = stream_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("tx"), F.col("o_orderdate").alias("pay_ts"), "o_custkey"
+    )
+    receipts = stream_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("tx"), F.col("l_shipdate").alias("receipt_ts"), "l_suppkey"
+    )
+    return (
+        ascending(to_stream_time(pays, "pay_ts"), "pay_ts"),
+        ascending(to_stream_time(receipts, "receipt_ts"), "receipt_ts"),
+    )
+
+
+def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
+    use_rocksdb(spark)
+    pays, receipts = matched_streams(spark, sf)
+    pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
+    rows = run_to_table(pairs, "interval-join").drop("batch")
+    return to_table_time(rows, "pay_ts", "receipt_ts")
+
+
+def stream_ads_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks per day, area, city and ad as fields of one hash per day, updated batch by batch."""
+    placed = _stream_clicks(spark, sf).join(places(spark, sf), "user_id")
+    counts = click_counts(placed, ["day", "area", "city", "ads_id"])
+    rows = run_to_table(counts, "ads-count", "update")
+    current = last_batch(rows, ["day", "area", "city", "ads_id"])
+    return count_fields(current, "day", ["area", "city", "ads_id"])
+
+
+def stream_area_top3(spark: SparkSession, sf: str) -> DataFrame:
+    placed = _stream_clicks(spark, sf).join(places(spark, sf), "user_id")
+    counts = click_counts(placed, ["day", "area", "ads_id"])
+    current = last_batch(run_to_table(counts, "area-top3", "update"), ["day", "area", "ads_id"])
+    top = top_keys(current, ["day", "area"], "ads_id", 3)
+    return top.select("day", "area", "rank", "ads_id", "n")
+
+
+def stream_blacklist(spark: SparkSession, sf: str) -> DataFrame:
+    """Users over the threshold join the day's set once, however many ads brought them there."""
+    over = click_counts(_stream_clicks(spark, sf), ["day", "user_id", "ads_id"]).where(
+        F.col("n") >= THRESHOLD
+    )
+    rows = run_to_table(
+        over,
+        "blacklist",
+        "update",
+        schema="day string, user_id bigint",
+        writer=lambda path: set_add_writer(path, ["day", "user_id"]),
+    )
+    return rows.select("day", "user_id")
+
+
+def _stream_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select(
+        "user_id", item().alias("ads_id"), F.date_format("ts", "yyyy-MM-dd").alias("day")
+    )
+
+
+QUERIES = {
+    "stream_word_count": stream_word_count,
+    "stream_batch_word_count": stream_batch_word_count,
+    "stream_windowed_word_count": stream_windowed_word_count,
+    "stream_page_view": stream_page_view,
+    "stream_hot_items": stream_hot_items,
+    "stream_hot_urls": stream_hot_urls,
+    "stream_uv": stream_uv,
+    "stream_sensor_minby": stream_sensor_minby,
+    "stream_temp_jump": stream_temp_jump,
+    "stream_order_pay": stream_order_pay,
+    "stream_interval_join": stream_interval_join,
+    "stream_ads_count": stream_ads_count,
+    "stream_area_top3": stream_area_top3,
+    "stream_blacklist": stream_blacklist,
+}
+
+_LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+_HOUR = "time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour'"
+_VIEW_MARK = f"window_end <= {_LAST_VIEW}"
+
+SQL = {
+    "stream_word_count": WORD_COUNT_SQL,
+    "stream_batch_word_count": f"SELECT CAST(0 AS BIGINT) AS batch, * FROM ({WORD_COUNT_SQL})",
+    "stream_windowed_word_count": f"""
+    SELECT * FROM ({sliding_sql(TIMED_WORDS_SQL, "word", "10 minutes", "2 minutes")})
+    WHERE window_end <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL '2 minutes'""",
+    "stream_page_view": f"""
+    SELECT * FROM (SELECT {_HOUR} AS window_end, count(*) AS n FROM events
+                   WHERE event_type = 'view' GROUP BY 1) WHERE {_VIEW_MARK}""",
+    "stream_uv": f"""
+    SELECT {_HOUR} AS window_end, count(DISTINCT user_id) AS n FROM events
+    WHERE event_type = 'view' GROUP BY 1""",
+    "stream_hot_items": f"SELECT * FROM ({traffic.SQL['hot_items']}) WHERE {_VIEW_MARK}",
+    "stream_interval_join": orders.SQL["interval_join"],
+    "stream_hot_urls": top_sql(HOT_URL_COUNTS, "url", 5),
+    "stream_order_pay": """
+    WITH mark AS (
+      SELECT greatest((SELECT max(o_orderdate) FROM orders),
+                      (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL '1 hour' AS mark_at),
+    spans AS (  -- a create keeps its session open for 490 days, a pay does not
+      SELECT *, ts + CASE kind WHEN 0 THEN INTERVAL '490 days' ELSE INTERVAL '0 days' END AS until
+      FROM (SELECT o_orderkey AS order_id, o_orderdate AS ts, 0 AS kind FROM orders
+            UNION ALL SELECT l_orderkey, l_shipdate, 1 FROM lineitem)),
+    marked AS (
+      SELECT *, CASE WHEN ts > max(until) OVER (PARTITION BY order_id ORDER BY ts, kind
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                     THEN 1 ELSE 0 END AS fresh
+      FROM spans),
+    numbered AS (
+      SELECT *, sum(fresh) OVER (PARTITION BY order_id ORDER BY ts, kind
+                                 ROWS UNBOUNDED PRECEDING) AS session
+      FROM marked),
+    seq AS (
+      SELECT *, lag(kind) OVER w AS prev_kind, lag(ts) OVER w AS prev_ts,
+             lead(kind) OVER w AS next_kind, lead(ts) OVER w AS next_ts,
+             max(until) OVER (PARTITION BY order_id, session) AS session_end
+      FROM numbered
+      WINDOW w AS (PARTITION BY order_id ORDER BY ts, kind)),
+    outcomes AS (
+      SELECT order_id, CASE
+               WHEN kind = 1 AND prev_kind = 0 AND ts - prev_ts < INTERVAL '90 days'
+                 THEN 'payed successfully'
+               WHEN kind = 1 AND prev_kind = 0 AND ts - prev_ts <= INTERVAL '490 days'
+                 THEN 'payed but already timeout'
+               WHEN kind = 1 THEN 'already payed but not found created log'
+               WHEN next_kind = 0 AND next_ts - ts >= INTERVAL '90 days' THEN 'order timeout'
+               WHEN next_kind = 1 AND next_ts - ts > INTERVAL '490 days' THEN 'order timeout'
+               WHEN next_kind IS NULL THEN 'order timeout'
+             END AS result_msg
+      FROM seq WHERE session_end < (SELECT mark_at FROM mark))
+    SELECT order_id,
+           CASE result_msg WHEN 'payed successfully' THEN 'main' ELSE 'side' END AS channel,
+           result_msg
+    FROM outcomes WHERE result_msg IS NOT NULL""",
+    "stream_sensor_minby": f"""
+    SELECT CAST(replace(id, 'sensor_', '') AS BIGINT) AS user_id, window_end, temperature, ts,
+           event_id
+    FROM ({sensors.SQL["sensor_window_minby"]})
+    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 second'""",
+    "stream_temp_jump": f"""
+    SELECT CAST(replace(id, 'sensor_', '') AS BIGINT) AS user_id, ts, last_temperature, temperature,
+           msg
+    FROM ({sensors.SQL["temp_jump"]})
+    WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "stream_ads_count": market.SQL["ads_count_map"],
+    "stream_area_top3": market.SQL["area_top3_ads"],
+    "stream_blacklist": f"SELECT DISTINCT * FROM ({market.SQL['blacklist_build']})",
+}
