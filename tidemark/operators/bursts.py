@@ -11,7 +11,8 @@ which of them was the real one from chunk to chunk, and keeps the warnings of th
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -42,19 +43,20 @@ def failure_bursts(
     reach = micros(within)
     width = max(micros(chunk), reach)
     near = _clustered(logins, user, ts, order[1], failed, within, chunk)
-    key_type = logins.schema[user].dataType.simpleString()
-    solved = near.groupBy("_user", "_chunk").applyInPandas(
-        lambda pdf: _solve_chunk(pdf, reach, width, times),
-        f"_user {key_type}, _chunk bigint, _entry_from bigint, _entry_to bigint, "
+    key = logins.schema[user].dataType.simpleString()
+    solved = near.sortWithinPartitions("_user", "_chunk", "_us", "_id").mapInPandas(
+        lambda batches: _solve(batches, reach, width, times),
+        f"_user {key}, _chunk bigint, _entry_from bigint, _entry_to bigint, "
         "_at bigint, _at_id bigint, _exit bigint, _exit_id bigint, "
         "_first bigint, _last bigint, failures bigint",
     )
+    exits = solved.where("_first is null").select(
+        "_user", "_chunk", "_at", "_at_id", "_exit", "_exit_id"
+    )
     entries = (
-        solved.where("_first is null")
-        .groupBy("_user")
-        .applyInPandas(
-            _follow, f"_user {key_type}, _chunk bigint, _entry bigint"
-        )
+        exits.repartition("_user")
+        .sortWithinPartitions("_user", "_chunk", "_at", "_at_id")
+        .mapInPandas(_follow, f"_user {key}, _chunk bigint, _entry bigint")
     )
     warnings = solved.where("_first is not null").join(entries, ["_user", "_chunk"])
     like = time_type(logins, ts)
@@ -83,7 +85,8 @@ def _clustered(logins, user, ts, row_id, failed, within, chunk) -> DataFrame:
         F.col(row_id).cast("long").alias("_id"),
         F.coalesce(failed, F.lit(False)).alias("_failed"),
     )
-    near = with_context(rows, ts, within, chunk).drop(ts)
+    rows = rows.where("_user is not null")
+    near = with_context(rows, ts, within, chunk).drop(ts).repartition("_user", "_chunk")
     by_time = Window.partitionBy("_user", "_chunk").orderBy("_us", "_id")
     later = (
         Window.partitionBy("_user", "_chunk")
@@ -117,20 +120,49 @@ def _clustered(logins, user, ts, row_id, failed, within, chunk) -> DataFrame:
     )
 
 
-def _solve_chunk(pdf: pd.DataFrame, reach: int, width: int, times: int) -> pd.DataFrame:
+def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, list]]:
+    """Columns, as lists, of each run of rows with equal `keys` in sorted batches."""
+    rest = None
+    for pdf in batches:
+        if rest is not None:
+            pdf = pd.concat([rest, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        fresh = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+        starts = [*fresh.nonzero()[0].tolist()]
+        rest = pdf.iloc[starts[-1] :]
+        columns = {c: pdf[c].tolist() for c in pdf.columns}
+        for begin, end in zip(starts, starts[1:]):
+            yield {c: values[begin:end] for c, values in columns.items()}
+    if rest is not None:
+        yield {c: rest[c].tolist() for c in rest.columns}
+
+
+def _frames(rows: Iterator[tuple], columns: list[str], size: int = 10_000):
+    """Rows as frames; all columns but the first (the user) are nullable integers."""
+    while part := list(islice(rows, size)):
+        numbers = {c: pd.array([row[n] for row in part], "Int64") for n, c in enumerate(columns) if n}
+        yield pd.DataFrame({columns[0]: [row[0] for row in part], **numbers})
+
+
+def _solve(batches, reach: int, width: int, times: int):
+    columns = ["_user", "_chunk", "_entry_from", "_entry_to", "_at", "_at_id", "_exit", "_exit_id"]
+    columns += ["_first", "_last", "failures"]
+    runs = _runs(batches, ["_user", "_chunk"])
+    rows = (row for run in runs for row in _solve_chunk(run, reach, width, times))
+    return _frames(rows, columns)
+
+
+def _solve_chunk(run: dict[str, list], reach: int, width: int, times: int) -> Iterator[tuple]:
     """Exit of the chunk for each possible first anchor, and warnings with the anchors they need."""
-    pdf = pdf.sort_values(["_us", "_id"])
-    user, chunk = pdf["_user"].iloc[0], int(pdf["_chunk"].iloc[0])
-    spots = list(zip(pdf["_us"].tolist(), pdf["_id"].tolist()))
-    home = int(pdf["_home"].sum())  # context rows lie after the chunk, so home rows come first
-    oks = [
-        None if pd.isna(us) else (int(us), int(i)) for us, i in zip(pdf["_ok_us"], pdf["_ok_id"])
-    ]
+    user, chunk = run["_user"][0], run["_chunk"][0]
+    spots = list(zip(run["_us"], run["_id"]))
+    home = sum(run["_home"])  # context rows lie after the chunk, so home rows come first
     ends, nexts, sizes = [], [], []
     for i in range(home):
-        limit = (spots[i][0] + reach, _NEVER)
-        killed = oks[i] is not None and oks[i] < limit
-        end = oks[i] if killed else limit
+        end, ok, killed = (spots[i][0] + reach, _NEVER), run["_ok_us"][i], False
+        if not pd.isna(ok) and ok <= end[0]:
+            end, killed = (int(ok), int(run["_ok_id"][i])), True
         after = bisect_right(spots, end, lo=i)
         ends.append(end)
         nexts.append(after)
@@ -139,39 +171,36 @@ def _solve_chunk(pdf: pd.DataFrame, reach: int, width: int, times: int) -> pd.Da
     for i in reversed(range(home)):
         if nexts[i] < home:
             exits[i] = exits[nexts[i]]
-    start = chunk * width
-    possible = bisect_right(spots, (start + reach, _NEVER), hi=home)
+    possible = bisect_right(spots, (chunk * width + reach, _NEVER), hi=home)
     low = {e: e for e in range(min(possible + 1, home))}
     high = dict(low)
-    out = []
     for i in range(home):
         if i not in low:
             continue
         if sizes[i] >= times:
-            out.append(
-                (user, chunk, low[i], high[i], None, None, None, None)
-                + (spots[i][0], spots[nexts[i] - 1][0], sizes[i])
+            yield (user, chunk, low[i], high[i], None, None, None, None) + (
+                spots[i][0],
+                spots[nexts[i] - 1][0],
+                sizes[i],
             )
         if i <= possible:
-            out.append((user, chunk, i, i, *spots[i], *ends[exits[i]], None, None, None))
+            yield (user, chunk, i, i, *spots[i], *ends[exits[i]], None, None, None)
         j = nexts[i]
         if j < home:
             low[j], high[j] = min(low.get(j, low[i]), low[i]), max(high.get(j, high[i]), high[i])
-    columns = ["_user", "_chunk", "_entry_from", "_entry_to", "_at", "_at_id", "_exit", "_exit_id"]
-    columns += ["_first", "_last", "failures"]
-    numbers = {c: pd.array([row[n] for row in out], "Int64") for n, c in enumerate(columns) if n}
-    return pd.DataFrame({"_user": [row[0] for row in out], **numbers})
 
 
-def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
+def _follow(batches):
     """The real first anchor of each chunk of a user, from the exit of the chunk before."""
-    pdf = pdf.sort_values(["_chunk", "_at", "_at_id"])
-    out, resume = [], (-_NEVER, 0)
-    for chunk, rows in pdf.groupby("_chunk", sort=True):
-        spots = list(zip(rows["_at"].tolist(), rows["_at_id"].tolist()))
-        entry = bisect_right(spots, resume)
-        if entry < len(spots):
-            out.append((pdf["_user"].iloc[0], int(chunk), entry))
-            last = rows.iloc[entry]
-            resume = (int(last["_exit"]), int(last["_exit_id"]))
-    return pd.DataFrame(out, columns=["_user", "_chunk", "_entry"])
+    return _frames(_entries(batches), ["_user", "_chunk", "_entry"])
+
+
+def _entries(batches) -> Iterator[tuple]:
+    user = resume = None
+    for run in _runs(batches, ["_user", "_chunk"]):
+        if resume is None or run["_user"][0] != user:
+            user, resume = run["_user"][0], (-_NEVER, 0)
+        entry = bisect_right(list(zip(run["_at"], run["_at_id"])), resume)
+        if entry < len(run["_at"]):
+            yield user, run["_chunk"][0], entry
+            resume = (run["_exit"][entry], run["_exit_id"][entry])

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.eventtime import to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
 from tidemark.operators.clicks import click_counts, count_fields
 from tidemark.operators.counting import word_count
-from tidemark.operators.matching import interval_join
+from tidemark.operators.matching import interval_join, reconcile
 from tidemark.operators.ranking import top_keys
 from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
 from tidemark.plans import market, orders, sensors, traffic
@@ -20,10 +21,12 @@ from tidemark.plans.common import item, sliding_sql, url_of
 from tidemark.plans.market import THRESHOLD, places
 from tidemark.plans.traffic import HOT_URL_COUNTS, top_sql
 from tidemark.plans.wordcounts import TIMED_WORDS_SQL, WORD_COUNT_SQL
-from tidemark.sinks.keyed import set_add_writer, write_batch
+from tidemark.session import work_dir
+from tidemark.sinks.keyed import read_batches, set_add_writer, write_batch
 from tidemark.sources.tables import stream_table
 from tidemark.streaming import counts as live
-from tidemark.streaming.runner import last_batch, run_to_table, use_rocksdb
+from tidemark.streaming.ads import click_cap_writer
+from tidemark.streaming.runner import last_batch, run_to_table, start, use_rocksdb
 from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
 from tidemark.streaming.watermarks import ascending, bounded
 
@@ -166,7 +169,9 @@ def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(states, "order-pay").drop("batch")
 
 
-def matched_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def pay_receipt_streams(
+    spark: SparkSession, sf: str, delay: str = "0 seconds"
+) -> tuple[DataFrame, DataFrame]:
     pays = stream_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("tx"), F.col("o_orderdate").alias("pay_ts"), "o_custkey"
     )
@@ -174,19 +179,44 @@ def matched_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
         F.col("l_orderkey").alias("tx"), F.col("l_shipdate").alias("receipt_ts"), "l_suppkey"
     )
     return (
-        ascending(to_stream_time(pays, "pay_ts"), "pay_ts"),
-        ascending(to_stream_time(receipts, "receipt_ts"), "receipt_ts"),
+        bounded(to_stream_time(pays, "pay_ts"), "pay_ts", delay),
+        bounded(to_stream_time(receipts, "receipt_ts"), "receipt_ts", delay),
     )
 
 
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     use_rocksdb(spark)
-    pays, receipts = matched_streams(spark, sf)
+    pays, receipts = pay_receipt_streams(spark, sf)
     pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
     rows = run_to_table(pairs, "interval-join").drop("batch")
     return to_table_time(rows, "pay_ts", "receipt_ts")
 
 
+def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """One-sided rows come once the watermark has passed their wait."""
+    use_rocksdb(spark)
+    pays, receipts = pay_receipt_streams(spark, sf, "1 hour")
+    rows = reconcile(
+        pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days"
+    )
+    return to_table_time(run_to_table(rows, "reconcile").drop("batch"), "pay_ts", "receipt_ts")
+
+
+def stream_click_cap(spark: SparkSession, sf: str) -> DataFrame:
+    clicks = events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    folder = work_dir(spark, "click-cap")
+    writer = click_cap_writer(folder, ["user_id", "event_type"], "ts", ["ts", "event_id"], 2)
+    start(clicks, writer, f"{folder}/checkpoint").awaitTermination()
+    rows = read_batches(
+        spark,
+        f"{folder}/rows",
+        StructType.fromDDL(
+            "event_id bigint, user_id bigint, event_type string, day string, over boolean"
+        ),
+    )
+    return rows.drop("batch")
+
+
 def stream_ads_count(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks per day, area, city and ad as fields of one hash per day, updated batch by batch."""
     placed = _stream_clicks(spark, sf).join(places(spark, sf), "user_id")
@@ -237,6 +267,8 @@ QUERIES = {
     "stream_temp_jump": stream_temp_jump,
     "stream_order_pay": stream_order_pay,
     "stream_interval_join": stream_interval_join,
+    "stream_tx_reconcile": stream_tx_reconcile,
+    "stream_click_cap": stream_click_cap,
     "stream_ads_count": stream_ads_count,
     "stream_area_top3": stream_area_top3,
     "stream_blacklist": stream_blacklist,
@@ -310,6 +342,15 @@ SQL = {
            msg
     FROM ({sensors.SQL["temp_jump"]})
     WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "stream_tx_reconcile": f"""
+    WITH mark AS (
+      SELECT least((SELECT max(o_orderdate) FROM orders),
+                   (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL '1 hour' AS mark_at)
+    SELECT * FROM ({orders.SQL["tx_reconcile"]})
+    WHERE channel = 'matched'
+       OR pay_ts + INTERVAL '5 days' < (SELECT mark_at FROM mark)
+       OR receipt_ts + INTERVAL '3 days' < (SELECT mark_at FROM mark)""",
+    "stream_click_cap": market.SQL["ad_click_cap"],
     "stream_ads_count": market.SQL["ads_count_map"],
     "stream_area_top3": market.SQL["area_top3_ads"],
     "stream_blacklist": f"SELECT DISTINCT * FROM ({market.SQL['blacklist_build']})",
