@@ -51,7 +51,7 @@ def failure_bursts(
         "_first bigint, _last bigint, failures bigint",
     )
     exits = solved.where("_first is null").select(
-        "_user", "_chunk", "_at", "_at_id", "_exit", "_exit_id"
+        "_user", "_chunk", "_entry_from", "_at", "_at_id", "_exit", "_exit_id"
     )
     entries = (
         exits.repartition("_user")
@@ -154,7 +154,7 @@ def _solve(batches, reach: int, width: int, times: int):
 
 
 def _solve_chunk(run: dict[str, list], reach: int, width: int, times: int) -> Iterator[tuple]:
-    """Exit of the chunk for each possible first anchor, and warnings with the anchors they need."""
+    """Exit of the chunk for each possible first anchor, and the warnings on each one's chain."""
     user, chunk = run["_user"][0], run["_chunk"][0]
     spots = list(zip(run["_us"], run["_id"]))
     home = sum(run["_home"])  # context rows lie after the chunk, so home rows come first
@@ -171,23 +171,35 @@ def _solve_chunk(run: dict[str, list], reach: int, width: int, times: int) -> It
     for i in reversed(range(home)):
         if nexts[i] < home:
             exits[i] = exits[nexts[i]]
-    possible = bisect_right(spots, (chunk * width + reach, _NEVER), hi=home)
-    low = {e: e for e in range(min(possible + 1, home))}
-    high = dict(low)
-    for i in range(home):
-        if i not in low:
-            continue
+    entries = range(min(bisect_right(spots, (chunk * width + reach, _NEVER), hi=home) + 1, home))
+    first, last = _chains(entries, nexts, home)
+    for i, number in first.items():
         if sizes[i] >= times:
-            yield (user, chunk, low[i], high[i], None, None, None, None) + (
-                spots[i][0],
-                spots[nexts[i] - 1][0],
-                sizes[i],
-            )
-        if i <= possible:
-            yield (user, chunk, i, i, *spots[i], *ends[exits[i]], None, None, None)
-        j = nexts[i]
-        if j < home:
-            low[j], high[j] = min(low.get(j, low[i]), low[i]), max(high.get(j, high[i]), high[i])
+            until = spots[nexts[i] - 1][0]
+            yield (user, chunk, number, last[i], *[None] * 4, spots[i][0], until, sizes[i])
+    for i in entries:
+        yield (user, chunk, first[i], first[i], *spots[i], *ends[exits[i]], *[None] * 3)
+
+
+def _chains(entries: range, nexts: list[int], home: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Numbers the anchors that can be reached from `entries`, in the order of a walk over the tree
+    that `nexts` spans: anchor a lies on the chain of entry e when first[a] <= first[e] <= last[a].
+    """
+    size = dict.fromkeys(entries, 1)
+    for i in range(home):
+        if i in size and nexts[i] < home:
+            size[nexts[i]] = size.get(nexts[i], 1) + size[i]
+    first, free, roots = {}, {}, 0
+    for i in sorted(size, reverse=True):
+        parent = nexts[i]
+        if parent < home:
+            first[i] = free[parent]
+            free[parent] += size[i]
+        else:
+            first[i] = roots
+            roots += size[i]
+        free[i] = first[i] + 1
+    return first, {i: first[i] + size[i] - 1 for i in size}
 
 
 def _follow(batches):
@@ -202,5 +214,5 @@ def _entries(batches) -> Iterator[tuple]:
             user, resume = run["_user"][0], (-_NEVER, 0)
         entry = bisect_right(list(zip(run["_at"], run["_at_id"])), resume)
         if entry < len(run["_at"]):
-            yield user, run["_chunk"][0], entry
+            yield user, run["_chunk"][0], run["_entry_from"][entry]
             resume = (run["_exit"][entry], run["_exit_id"][entry])
