@@ -24,7 +24,8 @@ def rows_of(df) -> list[tuple]:
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "tidemark-tests", "4g")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, "tidemark-tests", "4g", **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()

@@ -14,7 +14,7 @@ VISITOR_SEED = 61
 
 def words(line: Column) -> Column:
     """One row per space-separated token; empty tokens (from runs of spaces) are left out."""
-    return F.explode(F.filter(F.split(line, " "), lambda w: w != ""))
+    return F.explode(F.array_remove(F.split(line, " "), ""))
 
 
 def is_page_url(url: Column) -> Column:

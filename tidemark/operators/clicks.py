@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.eventtime import micros
 from tidemark.functions.text import json_pairs
 from tidemark.operators.ranking import ranked_lists, top_keys
 from tidemark.operators.windowed import sliding_counts
@@ -49,18 +50,25 @@ def top_ads_json(top: DataFrame, day: str, area: str, ad: str) -> DataFrame:
 
 
 def last_span_by_minute(
-    ads: DataFrame, ts: str, ad: str, as_of: Column, span: str = "1 hour"
+    ads: DataFrame,
+    ts: str,
+    ad: str,
+    as_of: Column,
+    span: str = "1 hour",
+    weight: str | None = None,
 ) -> DataFrame:
     """ad, minutes: array of (hm, n) in minute order, for clicks in the `span` before `as_of`.
 
-    `span` must not exceed a day, since minutes are named HH:mm.
+    `span` must not exceed a day, since minutes are named HH:mm. `weight` holds the number of clicks
+    when the input is counted already.
     """
+    if micros(span) > micros("1 day"):
+        raise ValueError("minutes of more than a day share their names")
     recent = ads.where(
         (F.col(ts) >= as_of - F.expr(f"interval {span}")) & (F.col(ts) < as_of)
     )
-    counts = recent.groupBy(ad, F.date_format(ts, "HH:mm").alias("hm")).agg(
-        F.count("*").alias("n")
-    )
+    named = recent.withColumn("hm", F.date_format(ts, "HH:mm"))
+    counts = click_counts(named, [ad, "hm"], weight)
     return counts.groupBy(ad).agg(
         F.array_sort(F.collect_list(F.struct("hm", "n"))).alias("minutes")
     )
@@ -79,7 +87,7 @@ def count_fields(counts: DataFrame, day: str, parts: Sequence[str], n: str = "n"
     )
 
 
-def count_maps(fields: DataFrame, shards: int = 1) -> DataFrame:
+def count_maps(fields: DataFrame, shards: int = 64) -> DataFrame:
     """Fields gathered to maps: hash_key, shard, fields. `shards` bounds the size of one map."""
     shard = F.pmod(F.xxhash64("field"), F.lit(shards)).cast("int").alias("shard")
     return fields.groupBy("hash_key", shard).agg(
@@ -87,9 +95,6 @@ def count_maps(fields: DataFrame, shards: int = 1) -> DataFrame:
     )
 
 
-UNINSTALL = "UNINSTALL"
-
-
 def marketing_totals(events: DataFrame, ts: str, size: str, slide: str, kept: Column) -> DataFrame:
     """window_start, channel, behavior, n over everything that is `kept`."""
     counts = sliding_counts(events.where(kept), ts, size, slide)

@@ -18,6 +18,9 @@ def window_join(
     """All pairs with equal `key` in the same tumbling window; adds window_start and window_end."""
     a = left.withColumn("_window", F.window(left_ts, size))
     b = right.withColumn("_window", F.window(right_ts, size))
+    if left.isStreaming or right.isStreaming:  # the window alone carries the watermark
+        a = a.withColumn(left_ts, F.col(left_ts) + F.expr("interval 0 seconds"))
+        b = b.withColumn(right_ts, F.col(right_ts) + F.expr("interval 0 seconds"))
     return a.join(b, [key, "_window"]).select(
         *left.columns,
         *[c for c in right.columns if c != key],

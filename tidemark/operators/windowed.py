@@ -1,8 +1,8 @@
 """Tumbling and sliding event-time aggregates.
 
 A sliding window of size S and slide D holds S/D copies of every row when it is expanded directly.
-Here rows are first counted per pane (gcd of S and D). In batch the pane counts then become two
-edges each, "enters at window i" and "leaves at window j", and a running sum over the edges yields
+Here rows are first counted per pane (gcd of S and D). Where S/D is small, pane counts are copied to
+their windows and summed. Where it is large, the pane counts of a table become two edges each, "enters at window i" and "leaves at window j", and a running sum over the edges yields
 every window's count: the shuffle carries two rows per pane whatever S/D is. The running sum is cut
 into chunks of `span` windows, so one key never needs one task; an edge pair is clipped to each
 chunk it touches. Streams chain two windowed aggregates (panes, then windows over panes).
@@ -25,6 +25,9 @@ from tidemark.functions.eventtime import (
     time_type,
 )
 
+# Up to this many windows per row, copying pane counts costs less than ordering their edges.
+_FEW_COPIES = 8
+
 
 def tumbling(
     df: DataFrame, ts: str, size: str, keys: Sequence[str] = (), **aggs: Column
@@ -78,6 +81,22 @@ def sliding_counts(
         .withColumn("_last", step_index(pane_start, slide_us))
         .where("_first <= _last")
     )
+    starts = F.col("_index") * F.lit(slide_us)
+    if size_us <= _FEW_COPIES * slide_us:
+        runs = panes.withColumn("_index", F.explode(F.sequence("_first", "_last")))
+        counts = runs.groupBy(*keys, "_index").agg(*[F.sum(t).alias(t) for t in totals])
+    else:
+        counts = _swept(panes, keys, list(totals), span)
+    return counts.select(
+        *keys,
+        from_epoch_us(starts, like).alias("window_start"),
+        from_epoch_us(starts + F.lit(size_us), like).alias("window_end"),
+        *totals,
+    )
+
+
+def _swept(panes: DataFrame, keys: Sequence[str], totals: Sequence[str], span: int) -> DataFrame:
+    """`keys`, _index and `totals` of every window with rows, by a running sum over pane edges."""
     chunked = panes.withColumn(
         "_chunk",
         F.explode(
@@ -101,14 +120,8 @@ def sliding_counts(
         F.lead("_edge.at").over(in_order).alias("_until"),
         *[F.sum(f"_edge.{t}").over(so_far).alias(t) for t in totals],
     ).where("n > 0 and _until > _from")
-    starts = F.col("_index") * F.lit(slide_us)
     return runs.select(
         *keys, *totals, F.explode(F.sequence("_from", F.col("_until") - 1)).alias("_index")
-    ).select(
-        *keys,
-        from_epoch_us(starts, like).alias("window_start"),
-        from_epoch_us(starts + F.lit(size_us), like).alias("window_end"),
-        *totals,
     )
 
 

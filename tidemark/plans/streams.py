@@ -11,9 +11,9 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.eventtime import to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
-from tidemark.operators.clicks import click_counts, count_fields
+from tidemark.operators.clicks import click_counts, count_fields, last_span_by_minute, minutes_json
 from tidemark.operators.counting import word_count
-from tidemark.operators.matching import interval_join, reconcile
+from tidemark.operators.matching import interval_join, reconcile, window_join
 from tidemark.operators.ranking import top_keys
 from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
 from tidemark.plans import market, orders, sensors, traffic
@@ -192,6 +192,14 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     return to_table_time(rows, "pay_ts", "receipt_ts")
 
 
+def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
+    use_rocksdb(spark)
+    pays, receipts = pay_receipt_streams(spark, sf)
+    pairs = window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
+    rows = run_to_table(pairs, "window-join").drop("batch")
+    return to_table_time(rows, "pay_ts", "receipt_ts", "window_start", "window_end")
+
+
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """One-sided rows come once the watermark has passed their wait."""
     use_rocksdb(spark)
@@ -234,6 +242,18 @@ def stream_area_top3(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("day", "area", "rank", "ads_id", "n")
 
 
+def stream_last_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks per ad and minute are kept up to date; a report takes the minutes of its span."""
+    minutes = bounded(
+        events(spark, sf).select("ts", item().alias("ads_id")), "ts", market.SPAN
+    )
+    counts = live.pane_counts(minutes, "ts", "1 minute", "1 minute", ["ads_id"])
+    current = last_batch(run_to_table(counts, "last-hour", "update"), ["ads_id", "pane_start"])
+    as_of = F.lit(market.AS_OF).cast("timestamp")
+    lists = last_span_by_minute(current, "pane_start", "ads_id", as_of, market.SPAN, "n")
+    return minutes_json(lists, "ads_id")
+
+
 def stream_blacklist(spark: SparkSession, sf: str) -> DataFrame:
     """Users over the threshold join the day's set once, however many ads brought them there."""
     over = click_counts(_stream_clicks(spark, sf), ["day", "user_id", "ads_id"]).where(
@@ -267,10 +287,12 @@ QUERIES = {
     "stream_temp_jump": stream_temp_jump,
     "stream_order_pay": stream_order_pay,
     "stream_interval_join": stream_interval_join,
+    "stream_window_join": stream_window_join,
     "stream_tx_reconcile": stream_tx_reconcile,
     "stream_click_cap": stream_click_cap,
     "stream_ads_count": stream_ads_count,
     "stream_area_top3": stream_area_top3,
+    "stream_last_hour": stream_last_hour,
     "stream_blacklist": stream_blacklist,
 }
 
@@ -342,6 +364,8 @@ SQL = {
            msg
     FROM ({sensors.SQL["temp_jump"]})
     WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "stream_window_join": orders.SQL["window_join"],
+    "stream_last_hour": market.SQL["last_hour_json"],
     "stream_tx_reconcile": f"""
     WITH mark AS (
       SELECT least((SELECT max(o_orderdate) FROM orders),

@@ -10,9 +10,11 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = 8, app: str = "tidemark", memory: str = "8g", **conf: str
+) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -21,8 +23,10 @@ def local_session(cores: int | str = 8, app: str = "tidemark", memory: str = "8g
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
