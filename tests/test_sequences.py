@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import at, rows_of
 from tidemark.operators.counting import running_count
-from tidemark.operators.sequences import neighbours, running, with_context
+from tidemark.functions.eventtime import micros
+from tidemark.operators.sequences import fitting_chunk, neighbours, running, with_context
 
 SCHEMA = "key string, ts timestamp_ntz, id bigint, v bigint"
 
@@ -89,3 +90,10 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert neighbours(empty, ["key"], "ts", ["ts", "id"], ["v"]).count() == 0
     assert running(empty, ["key"], "ts", ["ts", "id"], {"t": ("sum", "v")}).count() == 0
+
+
+def test_chunk_fits_the_busiest_hour(spark):
+    rows = [("a", at(s), s, 0) for s in range(3600)] + [("b", at(7200), 0, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert micros(fitting_chunk(df, "ts", rows=600)) == micros("10 minutes")
+    assert fitting_chunk(df.limit(0), "ts") == fitting_chunk(df.where("key = 'b'"), "ts")

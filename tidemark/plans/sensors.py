@@ -12,6 +12,7 @@ from tidemark.operators.alarms import (
     temperature_jumps,
 )
 from tidemark.operators.routing import connect, label, select_labels, union_all
+from tidemark.operators.sequences import fitting_chunk
 from tidemark.operators.windowed import sliding_first_by
 from tidemark.sources.tables import table
 from tidemark.streaming.watermarks import mark_late
@@ -60,7 +61,8 @@ def sensor_comap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sensor_rolling_min(spark: SparkSession, sf: str) -> DataFrame:
-    return rolling_minimum(readings(spark, sf), "id", "ts", ORDER, "temperature", "5 days")
+    df = readings(spark, sf)
+    return rolling_minimum(df, "id", "ts", ORDER, "temperature", fitting_chunk(df, "ts"))
 
 
 def sensor_window_minby(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,13 +79,15 @@ def sensor_window_minby(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def temp_jump(spark: SparkSession, sf: str) -> DataFrame:
-    return temperature_jumps(readings(spark, sf), "id", "ts", ORDER, "temperature", 10.0, "5 days")
+    df = readings(spark, sf)
+    chunk = fitting_chunk(df, "ts")
+    return temperature_jumps(df, "id", "ts", ORDER, "temperature", 10.0, chunk)
 
 
 def temp_rising(spark: SparkSession, sf: str) -> DataFrame:
-    return steady_rises(
-        readings(spark, sf), "id", "ts", ORDER, "temperature", "24 hours", "5 days"
-    )
+    df = readings(spark, sf)
+    chunk = fitting_chunk(df, "ts")
+    return steady_rises(df, "id", "ts", ORDER, "temperature", "24 hours", chunk)
 
 
 def late_split(spark: SparkSession, sf: str) -> DataFrame:
