@@ -20,8 +20,12 @@ from tidemark.sources.lines import stream_lines
 from tidemark.streaming import counts as live
 from tidemark.streaming.ads import ads_writer, click_cap_writer
 from tidemark.streaming.runner import closed_by, console, last_batch, run_to_table, start
-from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
-from tidemark.streaming.watermarks import ascending, bounded, mark_late, split_late
+from tidemark.streaming.stateful import (
+    order_states_stream,
+    rising_now_stream,
+    temperature_jumps_stream,
+)
+from tidemark.streaming.watermarks import ascending, bounded, late_writer, mark_late, split_late
 
 SCHEMA = "k string, ts timestamp_ntz, id bigint, v double"
 
@@ -170,6 +174,34 @@ def test_jumps_in_event_order(spark, tmp_path):
     assert rows_of(to_table_time(got.drop("batch"), "ts")) == rows_of(due) != []
 
 
+def test_late_rows_of_a_stream(spark, tmp_path):
+    rows = [("a", at(s), i, 0.0) for i, s in enumerate((10, 5000, 30, 5001, 40, 4999))]
+    out = str(tmp_path / "late")
+    stream = files(spark, tmp_path, rows, parts=3)
+    start(stream, late_writer(out, "ts", "1 minute", "1 minute", "1 second"), f"{out}/cp").awaitTermination()
+    ids = {
+        part: sorted(r.id for r in read_batches(spark, f"{out}/{part}", StructType.fromDDL("id bigint")).collect())
+        for part in ("main", "late")
+    }
+    assert ids == {"main": [0, 1, 3, 5], "late": [2, 4]}
+
+
+def test_rising_by_the_wall_clock(spark, tmp_path):
+    rows = [("up", at(1), 1, 1.0), ("down", at(1), 2, 9.0), ("up", at(2), 3, 2.0), ("down", at(2), 4, 8.0),
+            ("up", at(3), 5, 3.0), ("back", at(1), 6, 1.0), ("back", at(2), 7, 2.0), ("back", at(3), 8, 1.0)]
+    stream = files(spark, tmp_path, rows, parts=1)
+    alarms = rising_now_stream(stream, "k", "ts", "id", "v", "1 second")
+    out = str(tmp_path / "rise")
+    query = start(alarms, live.increment_writer(f"{out}/rows", ["k", "msg"]), f"{out}/cp", every="1 second")
+    got, tries = [], 0
+    while not got and tries < 60:
+        assert not query.awaitTermination(1)
+        got = rows_of(read_batches(spark, f"{out}/rows", StructType.fromDDL("k string, msg string")).drop("batch"))
+        tries += 1
+    query.stop()
+    assert got == [("up", "sensor up temperature kept rising for 1 second")]
+
+
 ORDER = "o bigint, ts timestamp_ntz, kind string"
 
 

@@ -255,9 +255,13 @@ def stream_last_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_blacklist(spark: SparkSession, sf: str) -> DataFrame:
-    """Users over the threshold join the day's set once, however many ads brought them there."""
-    over = click_counts(_stream_clicks(spark, sf), ["day", "user_id", "ads_id"]).where(
-        F.col("n") >= THRESHOLD
+    """SQL over a streaming view. Users over the threshold join the day's set once, however many
+    ads brought them there.
+    """
+    _stream_clicks(spark, sf).createOrReplaceTempView("tidemark_stream_clicks")
+    over = spark.sql(
+        f"""SELECT day, user_id FROM tidemark_stream_clicks
+            GROUP BY day, user_id, ads_id HAVING count(*) >= {THRESHOLD}"""
     )
     rows = run_to_table(
         over,

@@ -38,6 +38,19 @@ def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None =
     return write
 
 
+def several_passes(writer: BatchWriter) -> BatchWriter:
+    """Keeps the batch while `writer` reads it more than once."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            writer(df, batch_id)
+        finally:
+            df.unpersist()
+
+    return write
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All batches with their id in `batch`; also right when no batch has written yet."""
     spark_schema = StructType([*schema.fields, StructField("batch", LongType())])

@@ -14,16 +14,27 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.clicks import click_counts, drop_blacklisted
 from tidemark.operators.ranking import top_per_group
-from tidemark.sinks.keyed import BatchWriter, read_batches, set_add_writer, write_batch
+from tidemark.sinks.keyed import (
+    BatchWriter,
+    read_batches,
+    set_add_writer,
+    several_passes,
+    write_batch,
+)
 from tidemark.streaming.counts import sum_increments
 
 
 def _increments(df: DataFrame, path: str, keys: Sequence[str], batch_id: int) -> DataFrame:
-    """Writes the batch's counts; the totals of its keys including earlier batches."""
+    """Writes the batch's counts per `keys` and `day`; the totals of those including earlier batches.
+
+    Only the batch's days are read back, so old days do not slow new batches.
+    """
     counts = click_counts(df, keys)
     write_batch(counts, path, batch_id)
     rows = read_batches(df.sparkSession, path, counts.schema).where(F.col("batch") <= batch_id)
     touched = rows.where(F.col("batch") == batch_id).select(*keys)
+    since = touched.agg(F.min("day")).first()[0]
+    rows = rows.where(F.col("day") >= F.lit(since))
     return sum_increments(rows.join(touched, list(keys), "left_semi"), keys)
 
 
@@ -46,7 +57,7 @@ def ads_writer(path: str, threshold: int = 100) -> BatchWriter:
         totals = _increments(df, f"{path}/clicks", ["day", "user_id", "ads_id"], batch_id)
         set_add(totals.where(F.col("n") >= threshold), batch_id)
 
-    return write
+    return several_passes(write)
 
 
 def click_cap_writer(
@@ -76,4 +87,4 @@ def click_cap_writer(
         )
         write_batch(marked, f"{path}/rows", batch_id)
 
-    return write
+    return several_passes(write)

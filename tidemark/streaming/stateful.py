@@ -164,3 +164,64 @@ def temperature_jumps_stream(
         "temperature",
         F.lit("change too much").alias("msg"),
     )
+
+
+class _RisingNow(StatefulProcessor):
+    """Counts down from a sensor's first rise; any reading that is not a rise stops the clock."""
+
+    def __init__(self, sensor: str, wait_ms: int, text: str):
+        self.sensor, self.wait_ms, self.text = sensor, wait_ms, text
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "temperature double")
+        self.clock = handle.getValueState("clock", "at_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        readings = pd.concat(list(rows)).sort_values(["at_us", "row_id"])["temperature"].to_numpy()
+        before = self.last.get()[0] if self.last.exists() else np.nan
+        rises = np.concatenate([[before], readings[:-1]]) < readings
+        self.last.update((float(readings[-1]),))
+        if not rises.all() and self.clock.exists():
+            self.handle.deleteTimer(self.clock.get()[0])
+            self.clock.clear()
+        if rises[-1] and not self.clock.exists():
+            at_ms = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+            self.handle.registerTimer(at_ms)
+            self.clock.update((at_ms,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.clock.clear()
+        yield pd.DataFrame({self.sensor: [key[0]], "msg": [f"sensor {key[0]} {self.text}"]})
+
+    def close(self) -> None:
+        pass
+
+
+def rising_now_stream(
+    readings: DataFrame,
+    sensor: str,
+    ts: str,
+    row_id: str,
+    temperature: str,
+    least: str = "10 seconds",
+) -> DataFrame:
+    """Alarm by the wall clock: `least` after a first rise, if no reading since was not a rise.
+
+    For live sensors. `steady_rises` is the same alarm by event time and can be repeated.
+    """
+    use_rocksdb(readings.sparkSession)
+    rows = readings.select(
+        sensor,
+        epoch_us(ts).alias("at_us"),
+        F.col(row_id).cast("long").alias("row_id"),
+        F.col(temperature).alias("temperature"),
+    )
+    key_type = readings.schema[sensor].dataType.simpleString()
+    return rows.groupBy(sensor).transformWithStateInPandas(
+        _RisingNow(sensor, micros(least) // 1000, f"temperature kept rising for {least}"),
+        f"{sensor} {key_type}, msg string",
+        "append",
+        "processingTime",
+    )

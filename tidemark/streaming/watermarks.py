@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import epoch_us, interval_text, micros, step_index
 from tidemark.operators.sequences import running
+from tidemark.sinks.keyed import BatchWriter, read_batches, several_passes, write_batch
 
 
 def ascending(df: DataFrame, ts: str) -> DataFrame:
@@ -43,15 +44,16 @@ def mark_late(
     marks = running(
         timed, [], "_at", ["_batch"], {"_before": ("max", "_head")}, chunk, include_current=False
     ).select("_batch", "_before")
-    slide_us, size_us = micros(slide), micros(size)
+    late = _is_late(ts, F.col("_before"), size, slide, delay, lateness)
+    return rows.join(marks, "_batch", "left").withColumn("late", late).select(*df.columns, "late")
+
+
+def _is_late(ts: str, head: Column, size: str, slide: str, delay: str, lateness: str) -> Column:
+    """Whether the last window of `ts` was closed at `head`, the greatest event time seen (in us)."""
+    slide_us = micros(slide)
     last_start = step_index(epoch_us(ts), slide_us) * F.lit(slide_us)
-    closes = last_start + F.lit(size_us + micros(lateness))
-    late = closes <= F.col("_before") - F.lit(micros(delay))
-    return (
-        rows.join(marks, "_batch", "left")
-        .withColumn("late", F.coalesce(late, F.lit(False)))
-        .select(*df.columns, "late")
-    )
+    closes = last_start + F.lit(micros(size) + micros(lateness))
+    return F.coalesce(closes <= head - F.lit(micros(delay)), F.lit(False))
 
 
 def split_late(df: DataFrame, **rule) -> dict[str, DataFrame]:
@@ -60,3 +62,23 @@ def split_late(df: DataFrame, **rule) -> dict[str, DataFrame]:
         "main": marked.where("not late").drop("late"),
         "late": marked.where("late").drop("late"),
     }
+
+
+def late_writer(
+    path: str, ts: str, size: str, slide: str, delay: str, lateness: str = "0 seconds"
+) -> BatchWriter:
+    """The split on a stream: each micro-batch is judged by the greatest event time of those before.
+
+    Rows go to `main` and `late`; one row per batch, its greatest event time, goes to `heads`.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        head = df.agg(F.max(epoch_us(ts)).alias("head"))
+        earlier = read_batches(df.sparkSession, f"{path}/heads", head.schema)
+        seen = earlier.where(F.col("batch") < batch_id).agg(F.max("head")).first()[0]
+        late = _is_late(ts, F.lit(seen).cast("long"), size, slide, delay, lateness)
+        write_batch(df.where(~late), f"{path}/main", batch_id)
+        write_batch(df.where(late), f"{path}/late", batch_id)
+        write_batch(head, f"{path}/heads", batch_id)
+
+    return several_passes(write)
