@@ -26,7 +26,7 @@ from tidemark.sinks.keyed import read_batches, set_add_writer, write_batch
 from tidemark.sources.tables import stream_table
 from tidemark.streaming import counts as live
 from tidemark.streaming.ads import click_cap_writer
-from tidemark.streaming.runner import last_batch, run_to_table, start, use_rocksdb
+from tidemark.streaming.runner import last_batch, run_to_table, start
 from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
 from tidemark.streaming.watermarks import ascending, bounded
 
@@ -185,7 +185,6 @@ def pay_receipt_streams(
 
 
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    use_rocksdb(spark)
     pays, receipts = pay_receipt_streams(spark, sf)
     pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
     rows = run_to_table(pairs, "interval-join").drop("batch")
@@ -193,7 +192,6 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
-    use_rocksdb(spark)
     pays, receipts = pay_receipt_streams(spark, sf)
     pairs = window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
     rows = run_to_table(pairs, "window-join").drop("batch")
@@ -202,7 +200,6 @@ def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """One-sided rows come once the watermark has passed their wait."""
-    use_rocksdb(spark)
     pays, receipts = pay_receipt_streams(spark, sf, "1 hour")
     rows = reconcile(
         pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days"

@@ -19,6 +19,7 @@ def local_session(
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -37,6 +38,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """State that may outgrow memory, saved as changes; timers and typed state need it too."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared `spark.checkpoint.dir`, or a local one where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.eventtime import epoch_us, micros
-from tidemark.session import ROCKSDB, work_dir
-from tidemark.sinks.keyed import BatchWriter, batch_writer, read_batches
+from tidemark.session import use_rocksdb, work_dir
+from tidemark.sinks.keyed import BatchWriter, batch_writer, latest_per_key, read_batches
 
 
 def start(
@@ -27,6 +27,7 @@ def start(
     every: str | None = None,
 ) -> StreamingQuery:
     """Starts a query that hands each micro-batch to `writer`, every `every` or over what is there."""
+    use_rocksdb(df.sparkSession)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         df.writeStream.outputMode(mode)
@@ -43,11 +44,6 @@ def console(df: DataFrame, mode: str = "append", name: str | None = None) -> Str
     return (writer.queryName(name) if name else writer).start()
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """State that outgrows memory, and the provider that timers and typed state need."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def run_to_table(
     df: DataFrame,
     label: str,
@@ -71,8 +67,6 @@ def run_to_table(
 
 def last_batch(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Complete and update mode repeat a key in later batches; keeps the last row of each."""
-    from tidemark.sinks.keyed import latest_per_key
-
     return latest_per_key(rows, keys, ["batch"]).drop("batch")
 
 

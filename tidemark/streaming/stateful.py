@@ -25,7 +25,7 @@ from tidemark.functions.eventtime import (
     micros,
     time_type,
 )
-from tidemark.streaming.runner import use_rocksdb
+from tidemark.session import use_rocksdb
 
 def order_states_stream(
     orders: DataFrame,
