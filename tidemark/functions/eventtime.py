@@ -41,10 +41,19 @@ def epoch_us(ts: Column | str) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
+# Far enough before the epoch for every timestamp (some 3,000 years).
+_FAR_US = 10**17
+
+
 def step_index(us: Column, width_us: int) -> Column:
-    """Number of the epoch-aligned step of `width_us` that holds `us` (floor, also below zero)."""
-    width = F.lit(width_us)
-    return ((us - F.pmod(us, width)) / width).cast("long")
+    """Number of the epoch-aligned step of `width_us` that holds `us` (floor, also below zero).
+
+    `div` cuts towards zero, so the value is moved above zero for it. It is named only once, since a
+    filter would compute each mention anew.
+    """
+    steps_before = _FAR_US // width_us + 1
+    moved = us + F.lit(steps_before * width_us)
+    return F.call_function("div", moved, F.lit(width_us)) - F.lit(steps_before)
 
 
 def from_epoch_us(us: Column, like: DataType) -> Column:

@@ -79,8 +79,9 @@ def sliding_counts(
         .agg(*[a.alias(name) for name, a in totals.items()])
         .withColumn("_first", step_index(pane_start - F.lit(size_us), slide_us) + 1)
         .withColumn("_last", step_index(pane_start, slide_us))
-        .where("_first <= _last")
     )
+    if slide_us > size_us:  # some panes lie between windows
+        panes = panes.where("_first <= _last")
     starts = F.col("_index") * F.lit(slide_us)
     if size_us <= _FEW_COPIES * slide_us:
         runs = panes.withColumn("_index", F.explode(F.sequence("_first", "_last")))
