@@ -11,7 +11,12 @@ from tidemark.functions.eventtime import epoch_us, micros
 from tidemark.operators.ranking import top_per_group
 from tidemark.operators.sequences import neighbours, with_context
 
-DAY = "1 day"
+# The result messages of the order patterns.
+PAID = "payed successfully"
+LATE = "payed but already timeout"
+NO_CREATE = "already payed but not found created log"
+TIMEOUT = "order timeout"
+PATTERN_TIMEOUT = "time out"
 
 
 def match_next(
@@ -117,7 +122,7 @@ def order_timeouts(
     kind = F.col(event_type)
     pay = kind == "pay" if paid is None else (kind == "pay") & paid
     matched = followed_by(orders, [order_id], ts, kind == "create", pay, within, chunk)
-    message = F.when(F.col("then_ts").isNotNull(), "payed successfully").otherwise("time out")
+    message = F.when(F.col("then_ts").isNotNull(), PAID).otherwise(PATTERN_TIMEOUT)
     return matched.select(
         order_id,
         F.col(ts).alias("create_ts"),
@@ -153,15 +158,13 @@ def order_states(
     outcome = (
         F.when(
             is_pay & (F.col("prev__kind") == 0),
-            F.when(since < micros(limit), "payed successfully").otherwise(
-                "payed but already timeout"
-            ),
+            F.when(since < micros(limit), PAID).otherwise(LATE),
         )
-        .when(is_pay, "already payed but not found created log")
-        .when(F.col("next__kind").isNull(), "order timeout")
-        .when((F.col("next__kind") == 0) & (until >= micros(limit)), "order timeout")
+        .when(is_pay, NO_CREATE)
+        .when(F.col("next__kind").isNull(), TIMEOUT)
+        .when((F.col("next__kind") == 0) & (until >= micros(limit)), TIMEOUT)
     )
-    channel = F.when(F.col("result_msg") == "payed successfully", "main").otherwise("side")
+    channel = F.when(F.col("result_msg") == PAID, "main").otherwise("side")
     return (
         seen.select(order_id, outcome.alias("result_msg"))
         .where("result_msg is not null")
@@ -182,7 +185,7 @@ def unpaid_orders(
     pays = first_pay.withColumnRenamed(order_id, "_order")
     return creates.join(
         pays, (F.col(order_id) == F.col("_order")) & in_time, "left_anti"
-    ).withColumn("result_msg", F.lit("order timeout"))
+    ).withColumn("result_msg", F.lit(TIMEOUT))
 
 
 def click_cap(

@@ -25,6 +25,7 @@ from tidemark.functions.eventtime import (
     micros,
     time_type,
 )
+from tidemark.operators.patterns import LATE, NO_CREATE, PAID, TIMEOUT
 from tidemark.session import use_rocksdb
 
 def order_states_stream(
@@ -63,14 +64,14 @@ def order_states_stream(
         paid_open = (now["is_pay"] == 1) & (before["is_pay"] == 0) & (since <= wait_us)
         left_open = after.isNull() | (until > wait_us)
         return (
-            F.when(paid_open & (since < limit_us), "payed successfully")
-            .when(paid_open, "payed but already timeout")
-            .when(now["is_pay"] == 1, "already payed but not found created log")
-            .when(left_open | ((after["is_pay"] == 0) & (until >= limit_us)), "order timeout")
+            F.when(paid_open & (since < limit_us), PAID)
+            .when(paid_open, LATE)
+            .when(now["is_pay"] == 1, NO_CREATE)
+            .when(left_open | ((after["is_pay"] == 0) & (until >= limit_us)), TIMEOUT)
         )
 
     message = F.explode(F.array_compact(F.transform(events, outcome)))
-    channel = F.when(F.col("result_msg") == "payed successfully", "main").otherwise("side")
+    channel = F.when(F.col("result_msg") == PAID, "main").otherwise("side")
     return (
         sessions.select(order_id, message.alias("result_msg"))
         .select(order_id, channel.alias("channel"), "result_msg")
