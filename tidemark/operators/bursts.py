@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import epoch_us, from_epoch_us, micros, step_index, time_type
+from tidemark.functions.eventtime import epoch_us, from_epoch_us, micros, time_type
 from tidemark.operators.sequences import with_context
 
 _NEVER = 2**63 - 1
