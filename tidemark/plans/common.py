@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.tables import table
 
+
 def item(props: str = "props"):
     """The item number in an event's properties."""
     return F.get_json_object(props, "$.k").cast("long")
