@@ -4,7 +4,7 @@ Nothing else in the library imports this package. QUERIES holds functions `name(
 some of them are checked against.
 """
 
-from tidemark.llm import bpe, linededup, mixing, multiset, quality, repetition, simhash, warc
+from tidemark.llm import bpe, linededup, mixing, multiset, pii, quality, repetition, simhash, template, warc
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
@@ -12,6 +12,8 @@ QUERIES = {
     "op3_repetition": repetition.op3_repetition,
     "op4_fingerprint": multiset.op4_fingerprint,
     "op5_simhash": simhash.op5_simhash,
+    "op6_pii": pii.op6_pii,
+    "op7_extract": template.op7_extract,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_warc": warc.op9_warc,
     "op10_quality": quality.op10_quality,
