@@ -143,13 +143,12 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     A null text counts as empty and a null id as the smallest id. Rows with one id share their next document;
     of several rows with the next id, the one with the smallest text is taken. A single id is its own next.
     """
-    texts = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("key"),
-        F.col(doc_id).alias("doc_id"),
-        text_of(text).alias("text"),
-    ).withColumn("mark", lanes(F.col("text")))
-    links = written(next_lower(docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("key")), "key"), "next")
-    half = texts.groupBy("key").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
+    none = F.lit(-(2**63))
+    key = F.coalesce(F.col(doc_id).cast("long"), none).alias("key")
+    # both sides of the last join start from these rows in this partitioning, so Spark hashes and shuffles them once
+    texts = docs.select(key, text_of(text).alias("text")).withColumn("mark", lanes(F.col("text"))).repartition("key")
+    links = written(next_lower(docs.select(key), "key"), "next")
+    half = docs.select(key, text_of(text).alias("text")).groupBy("key").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
     wanted = written(links.join(half, "key").select(F.col("next_key").alias("key"), F.col("key").alias("user"), "half"), "wanted")
     offers = texts.join(wanted, "key").select(
         "user", F.struct(F.substring("text", F.lit(1), F.col("half")).alias("lead"), "mark").alias("offer")
@@ -162,7 +161,7 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     edited = F.concat(F.substring("text", F.lit(1), cut), lead)
     return (
         both.select(
-            "doc_id", n.cast("long").alias("n_chars"), "mark", F.col("offer.mark").alias("next_mark"), edited.alias("edited")
+            F.nullif("key", none).alias("doc_id"), n.cast("long").alias("n_chars"), "mark", F.col("offer.mark").alias("next_mark"), edited.alias("edited")
         )
         .select("doc_id", "n_chars", "mark", "next_mark", F.sha2("edited", 256).alias("edited_sha256"), lanes(F.col("edited")).alias("edited_mark"))
         .select(
