@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import documents, text_of
 
 #: Characters handled together: bounds the memory of a task whatever the length of texts.
-POOL = 2_000_000
+POOL = 1_000_000
 WORDS = 250_000
 #: Tokens decoded by one ordered aggregation; longer texts are decoded in consecutive parts.
-PART = 1_000_000
+PART = 500_000
 #: Pieces that a Python worker remembers; beyond that it forgets the older half.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Pieces merged by one recursive query.
 TOGETHER = 60_000
 #: Bytes of a piece beyond which a heap takes the recursive query's place: a query step costs the piece's whole length.
@@ -98,7 +98,7 @@ class Coder:
         ]
         self.pairs = {(a, b): made for a, b, made in merges}
         self.db = duckdb.connect(
-            config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.gettempdir()}
+            config={"threads": 1, "memory_limit": "300MB", "temp_directory": tempfile.gettempdir()}
         )
         left, right, made = (pa.array(x, pa.int64()) for x in zip(*merges))
         self._table("merges", l=left, r=right, made=made)
@@ -113,11 +113,11 @@ class Coder:
 
     def learn(self, words: Iterable[str]) -> None:
         """Remembers the ids of each piece, as little-endian 32-bit numbers."""
-        new = set(words).difference(self.known)
+        words = set(words)
         if len(self.known) > REMEMBERED:
             for word in list(itertools.islice(self.known, REMEMBERED // 2)):
                 del self.known[word]
-            new = set(words).difference(self.known)
+        new = words.difference(self.known)
         unmerged: list[tuple[str, bytes]] = []
         for word in new:
             data = word.encode()

@@ -64,8 +64,8 @@ def repetition(docs: DataFrame, text: str = "text") -> DataFrame:
     """`row` (each input row as a struct) and the measures of `COLUMNS`.
 
     A null text has no words and fails the base rule, like an empty one. Repeated rows are measured alike;
-    columns of any name may be present. Rows stay in their partitions; a task works on slices of some two
-    megabytes of text, or on one longer text.
+    columns of any name may be present. Rows stay in their partitions; a task works on slices of some
+    megabyte of text, or on one longer text.
     """
 
     def run(batches):

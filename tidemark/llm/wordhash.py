@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled together; a longer text is handled by itself.
-POOL = 2_000_000
+POOL = 1_000_000
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
