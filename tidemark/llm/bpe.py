@@ -30,9 +30,9 @@ WORDS = 250_000
 #: Tokens decoded by one ordered aggregation; longer texts are decoded in consecutive parts.
 PART = 500_000
 #: Pieces that a Python worker remembers; beyond that it forgets the older half.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Pieces merged by one recursive query.
-TOGETHER = 60_000
+TOGETHER = 25_000
 #: Bytes of a piece beyond which a heap takes the recursive query's place: a query step costs the piece's whole length.
 LONG_PIECE = 400
 
@@ -67,7 +67,7 @@ FROM state JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING
 GROUP BY word ORDER BY word
 """
 _DECODE = """
-SELECT part, string_agg(chars, '' ORDER BY pos) AS chars
+SELECT part, array_to_string(list(chars ORDER BY pos)::VARCHAR[], '') AS chars
 FROM coded JOIN vocabulary USING (id) GROUP BY part ORDER BY part
 """
 
@@ -103,8 +103,11 @@ class Coder:
         left, right, made = (pa.array(x, pa.int64()) for x in zip(*merges))
         self._table("merges", l=left, r=right, made=made)
         self._table(
-            "vocabulary", id=pa.array(self.rank.values(), pa.int32()), chars=pa.array([t.decode("latin-1") for t in self.rank])
+            "spelled", id=pa.array(self.rank.values(), pa.int32()), chars=pa.array([t.decode("latin-1") for t in self.rank])
         )
+        # tokens of an enumeration are sorted as small numbers
+        self.db.execute("CREATE TYPE token AS ENUM (SELECT chars FROM spelled)")
+        self.db.execute("CREATE TEMP TABLE vocabulary AS SELECT id, chars::token AS chars FROM spelled")
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.db.register("arrived", pa.table(columns))
