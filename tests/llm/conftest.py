@@ -1,0 +1,27 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = str(Path(__file__).resolve().parents[2])
+if REPO not in sys.path:
+    sys.path.insert(0, REPO)
+os.environ["PYTHONPATH"] = f"{REPO}:{os.environ.get('PYTHONPATH', '')}"
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Documents from (doc_id, text) or (doc_id, text, source); extra columns have names that operators use inside."""
+
+    def build(rows, clash=False):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        df = spark.createDataFrame(full, SCHEMA)
+        if clash:
+            for name in ("row", "host", "lines", "body", "ids", "fp", "u", "key", "score", "kept", "place", "template"):
+                df = df.selectExpr("*", f"'x' AS {name}")
+        return df
+
+    return build

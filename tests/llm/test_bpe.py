@@ -1,0 +1,80 @@
+"""Byte-level BPE against tiktoken and an exact round trip."""
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tidemark.llm import bpe
+
+RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+TEXTS = [
+    None, "", " ", "\n\n \t", "don't we'll  they've", "héllo wörld – ça va?", "日本語のテキスト" * 30, "a" * 3000, "ab" * 900,
+    "#" * 700 + " 123456789012345678901234567890", "​﻿\U0001f600\U0001f468‍\U0001f469", "<|endoftext|>", "x\x00y\r\n",
+]
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.Coder(RANKS, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, RANKS.splitlines())}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_as_tiktoken(coder, reference):
+    rng = random.Random(6)
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choices("abcdeé ß\n'.,1#", k=rng.randrange(300))) for _ in range(200)]
+    ids = coder.encode(texts)
+    assert [x.tolist() for x in ids] == [reference.encode_ordinary(t) for t in texts]
+    assert coder.decode(ids) == [t.encode() for t in texts]
+
+
+def test_long_pieces_by_either_way(coder):
+    rng = random.Random(8)
+    for n in (2, 17, 150, bpe.LONG_PIECE):
+        word = "".join(rng.choices("aetionsh", k=n))
+        coder.known.clear()
+        coder._merge([(word, word.encode())])
+        assert coder.known[word] == coder._merge_long(word.encode()).astype("<i4").tobytes()
+
+
+def test_forgetting_and_long_texts_change_nothing(coder, reference, monkeypatch):
+    text = " ".join(f"w{i}x" for i in range(3000))
+    want = reference.encode_ordinary(text)
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    monkeypatch.setattr(bpe, "POOL", 500)
+    monkeypatch.setattr(bpe, "WORDS", 70)
+    monkeypatch.setattr(bpe, "PART", 90)
+    pieces = [text[:300], text, text[:200], None, text]
+    ids = coder.encode(pieces)
+    assert ids[1].tolist() == want and ids[4].tolist() == want and len(ids[3]) == 0
+    assert coder.decode(ids) == [(p or "").encode() for p in pieces]
+
+
+def test_tables(make, reference):
+    docs = make(list(enumerate(TEXTS)) + [(4, TEXTS[4])], clash=True)
+    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    rows = coded.collect()
+    assert len(rows) == len(TEXTS) + 1
+    for r in rows:
+        assert r.ids == reference.encode_ordinary(TEXTS[r.row.doc_id] or "")
+    for r in bpe.decode(coded, RANKS, public_tokenizers.PATTERN).collect():
+        assert bytes(r.decoded) == (TEXTS[r.row.row.doc_id] or "").encode()
+    for r in bpe.digests(docs, RANKS, public_tokenizers.PATTERN).collect():
+        ids = reference.encode_ordinary(TEXTS[r.doc_id] or "")
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((TEXTS[r.doc_id] or "").encode()).hexdigest()
+    for r in bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).collect():
+        assert r.text == (TEXTS[r.row.doc_id] or "")
+
+
+def test_empty_table(make):
+    assert bpe.digests(make([]), RANKS, public_tokenizers.PATTERN).count() == 0
