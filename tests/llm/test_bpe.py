@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from plain import make  # noqa: F401
 
 from tidemark.llm import bpe
 

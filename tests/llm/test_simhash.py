@@ -1,22 +1,13 @@
 """SimHash near-duplicates against all pairs."""
 
 import random
-import re
 
 import numpy as np
 import pytest
-import xxhash
-
-from tidemark.llm import simhash
 
+from plain import labels, make, plain_fingerprint  # noqa: F401
 
-def plain(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    if not words:
-        return 0
-    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+from tidemark.llm import simhash
 
 
 def test_fingerprints():
@@ -24,26 +15,9 @@ def test_fingerprints():
     texts = ["", " \n", "One", "one two", "One TWO three", "a b c d", "É é x Y z", "same " * 500]
     texts += [" ".join(rng.choices(["aa", "Bb", "c", "d　e"], k=rng.randrange(40))) for _ in range(50)]
     for text in texts:
-        assert simhash.fingerprint(text.encode()) == plain(text)
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
     long = " ".join(rng.choices("abcdefgh", k=250_000))
-    assert simhash.fingerprint(long.encode()) == plain(long)
-
-
-def labels(values, distance):
-    root = list(range(len(values)))
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    a = np.array(values, np.uint64)
-    for i in range(len(a)):
-        for j in np.flatnonzero(np.bitwise_count(a[i + 1 :] ^ a[i]) <= distance):
-            p, q = find(i), find(i + 1 + int(j))
-            root[max(p, q)] = min(p, q)
-    return [find(i) for i in range(len(values))]
+    assert simhash.fingerprint(long.encode()) == plain_fingerprint(long)
 
 
 @pytest.mark.parametrize(("small", "distance"), [(64, 2), (1, 2), (1, 1), (3, 3)])
@@ -75,7 +49,7 @@ def test_documents(make):
     by = {r.doc_id: r.component_id for r in out}
     assert len(out) == len(rows)
     assert by[7] == by[3] == 3 and by[9] == by[8] == 8 and by[2] == 2 and by[None] is None
-    values = [plain(t) for _, t in rows]
+    values = [plain_fingerprint(t) for _, t in rows]
     assert (by[5] == 3) == ((values[0] ^ values[2]).bit_count() <= 2)
     kept = simhash.deduplicated(make(rows, clash=True))
     assert kept.columns == make(rows, clash=True).columns

@@ -3,14 +3,13 @@
 import collections
 import hashlib
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import linededup, mixing, multiset, repetition
+from plain import make, plain_repetition  # noqa: F401
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+from tidemark.llm import linededup, mixing, multiset, repetition
 
 
 def test_line_dedup_drops_lines_of_much_of_a_site(make):
@@ -69,30 +68,6 @@ def test_mixing_nulls_and_empty_tables(make):
     assert mixing.mix(empty, mixing.smoothed_rates(empty)).count() == 0
 
 
-def plain_repetition(text):
-    words = WORD.findall(text or "")
-
-    def inside(n):
-        seen = collections.Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
-        mark = [False] * len(words)
-        for i in range(len(words) - n + 1):
-            if seen[tuple(words[i : i + n])] > 1:
-                mark[i : i + n] = [True] * n
-        return mark
-
-    seen, dup, chars = set(), 0, 0
-    for line in (text or "").split("\n"):
-        if WORD.search(line):
-            if line in seen:
-                dup, chars = dup + 1, chars + sum(map(len, WORD.findall(line)))
-            seen.add(line)
-    out = [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, sum(inside(5))]
-    grams = [sum(len(w) for w, m in zip(words, inside(n)) if m) for n in repetition.GRAM_LIMITS]
-    failed = out[0] < 10 or 100 * out[4] > 20 * out[0]
-    good = chars <= 0.2 * out[1] and all(g <= limit * out[1] for g, limit in zip(grams, repetition.GRAM_LIMITS.values()))
-    return (*out, failed, good and not failed, chars, *grams)
-
-
 def test_repetition_against_a_plain_version(make):
     rng = random.Random(3)
     texts = [None, "", "\n \t\n", "a", "é é 　x", "x\nx\n x\nx", "w " * 30000, "\x0b\x0c a\x1fb\x85c"]
