@@ -114,15 +114,23 @@ def reconcile(
 
     All pairs within the waits are kept, also where a key has several pays or receipts.
     """
+    # a side is told by its marker: a row without a time is still a pay or a receipt
     joined = interval_join(
-        pays, receipts, key, pay_ts, receipt_ts, f"-{receipt_waits}", pay_waits, "full_outer"
+        pays.withColumn("_pay", F.lit(True)),
+        receipts.withColumn("_receipt", F.lit(True)),
+        key,
+        pay_ts,
+        receipt_ts,
+        f"-{receipt_waits}",
+        pay_waits,
+        "full_outer",
     )
     channel = (
-        F.when(F.col(receipt_ts).isNull(), CHANNELS[1])
-        .when(F.col(pay_ts).isNull(), CHANNELS[2])
+        F.when(F.col("_receipt").isNull(), CHANNELS[1])
+        .when(F.col("_pay").isNull(), CHANNELS[2])
         .otherwise(CHANNELS[0])
     )
-    return joined.withColumn("channel", channel)
+    return joined.withColumn("channel", channel).drop("_pay", "_receipt")
 
 
 def reconciled(pays, receipts, key, pay_ts, receipt_ts, **waits) -> dict[str, DataFrame]:

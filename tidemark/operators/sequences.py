@@ -9,8 +9,7 @@ needs from outside the chunk:
 * `running` adds one row that holds the aggregate of all earlier chunks.
 
 The last two build on one small row per (key, chunk), so their per-key step is bounded by time, not
-by the number of events. `chunk` is a width in event time; results do not depend on it.
-`fitting_chunk` chooses one from the data.
+by the number of events. `chunk` is a width in event time; results do not depend on it. Choose it so that a hot key's rows of one chunk fit a task.
 """
 
 from __future__ import annotations
@@ -20,24 +19,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import epoch_us, interval_text, micros, step_index
+from tidemark.functions.eventtime import epoch_us, micros, step_index
 
 _AGGS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def fitting_chunk(df: DataFrame, ts: str, rows: int = 2_000_000) -> str:
-    """A chunk width for which one key has at most about `rows` rows in a chunk.
-
-    Reads the time column once and takes the busiest hour, as if all of its rows were of one key.
-    Sparse tables come out as a single chunk, dense ones as seconds.
-    """
-    hour = micros("1 hour")
-    per_hour = df.groupBy(step_index(epoch_us(ts), hour).alias("_hour")).count()
-    busiest = per_hour.agg(F.max("count")).first()[0] or 1
-    width = min(max(hour * rows // busiest, micros("1 millisecond")), micros("3650 days"))
-    return interval_text(width)
-
-
 def with_context(
     df: DataFrame, ts: str, reach: str, chunk: str, only=None, before: bool = False
 ) -> DataFrame:

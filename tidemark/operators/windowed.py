@@ -72,6 +72,7 @@ def sliding_counts(
     totals = {"n": F.count("*")}
     if weight:
         totals["total"] = F.sum(weight)
+        totals["_weights"] = F.count(weight)  # a window whose weights are all null has no total
     pane_start = F.col("_pane") * F.lit(pane_us)
     panes = (
         df.where(F.col(ts).isNotNull())
@@ -88,11 +89,14 @@ def sliding_counts(
         counts = runs.groupBy(*keys, "_index").agg(*[F.sum(t).alias(t) for t in totals])
     else:
         counts = _swept(panes, keys, list(totals), span)
+    result = {"n": F.col("n")}
+    if weight:
+        result["total"] = F.when(F.col("_weights") > 0, F.col("total"))
     return counts.select(
         *keys,
         from_epoch_us(starts, like).alias("window_start"),
         from_epoch_us(starts + F.lit(size_us), like).alias("window_end"),
-        *totals,
+        *[c.alias(name) for name, c in result.items()],
     )
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.sources.tables import table
 
 
+#: Chunks of event time for operators that need a key's rows in order: `events` are dense, orders sparse.
+EVENT_CHUNK = "1 day"
+ORDER_CHUNK = "60 days"
+
+
 def item(props: str = "props"):
     """The item number in an event's properties."""
     return F.get_json_object(props, "$.k").cast("long")

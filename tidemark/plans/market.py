@@ -46,11 +46,11 @@ def marketing_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def marketing_by_channel(spark: SparkSession, sf: str) -> DataFrame:
-    return by_channel(marketing(spark, sf), "ts", "1 hour", "5 minutes", kept())
+    return by_channel(marketing(spark, sf), "ts", "1 hour", "10 seconds", kept())
 
 
 def marketing_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return rollup(marketing(spark, sf), "ts", "1 hour", "5 minutes", kept())
+    return rollup(marketing(spark, sf), "ts", "1 hour", "10 seconds", kept())
 
 
 def places(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,7 +101,7 @@ def ad_count_by_province(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "events"), ["user_id", "event_type"], "ts", ["ts", "event_id"], 2
     )["main"]
     placed = within_cap.select("user_id", "ts").join(places(spark, sf), "user_id")
-    counts = sliding_counts(placed, "ts", "1 hour", "1 minute", ["area"])
+    counts = sliding_counts(placed, "ts", "1 hour", "10 seconds", ["area"])
     return counts.select(
         F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
         F.col("area").alias("province"),
@@ -161,12 +161,17 @@ def area_top3_json(spark: SparkSession, sf: str) -> DataFrame:
     return top_ads_json(area_top3_ads(spark, sf), "day", "area", "ads_id")
 
 
-AS_OF = "2024-01-15 12:00:00"
 SPAN = "6 hours"
 
 
+def report_time(df: DataFrame, ts: str):
+    """The end of the last minute with a row, as one value."""
+    last = F.date_trunc("minute", F.max(ts)) + F.expr("interval 1 minute")
+    return df.agg(last.cast(df.schema[ts].dataType).alias("as_of")).scalar()
+
+
 def recent_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    as_of = F.lit(AS_OF).cast("timestamp_ntz")
+    as_of = report_time(table(spark, sf, "events"), "ts")
     return last_span_by_minute(clicks(spark, sf), "ts", "ads_id", as_of, SPAN)
 
 
@@ -206,7 +211,7 @@ QUERIES = {
 
 _MARKETING = f"""(SELECT ts, 'channel' || ({K_SQL} % {CHANNELS}) AS channel, event_type AS behavior
                  FROM events WHERE event_type <> 'error')"""
-_BY_CHANNEL = sliding_sql(_MARKETING, "channel, behavior", "1 hour", "5 minutes")
+_BY_CHANNEL = sliding_sql(_MARKETING, "channel, behavior", "1 hour", "10 seconds")
 _PLACES = """(SELECT c_custkey AS user_id, n_name AS city, r_name AS area
               FROM customer JOIN nation ON c_nationkey = n_nationkey
               JOIN region ON n_regionkey = r_regionkey)"""
@@ -227,7 +232,7 @@ _TOP3 = f"""SELECT day, area, CAST(rank AS INTEGER) AS rank, ads_id, n FROM (
               FROM {_CLICKS} JOIN {_PLACES} USING (user_id) GROUP BY day, area, ads_id)
             WHERE rank <= 3"""
 _MINUTES = f"""SELECT ads_id, strftime(ts, '%H:%M') AS hm, count(*) AS n FROM {_CLICKS}
-               WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL '{SPAN}' AND ts < TIMESTAMP '{AS_OF}'
+               WHERE ts >= (SELECT date_trunc('minute', max(ts)) + INTERVAL '1 minute' - INTERVAL '{SPAN}' FROM events)
                GROUP BY ALL"""
 
 SQL = {
@@ -249,7 +254,7 @@ SQL = {
     "ad_count_by_province": f"""
     SELECT strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, area AS province, n FROM (
       {sliding_sql(f"(SELECT ts, area FROM {_CAPPED} JOIN {_PLACES} USING (user_id) WHERE rank <= 2)",
-                   "area", "1 hour", "1 minute")})""",
+                   "area", "1 hour", "10 seconds")})""",
     "ad_click_cap": f"""
     SELECT event_id, user_id, event_type, day, rank > 2 AS over FROM {_CAPPED} WHERE rank <= 3""",
     "ad_blacklist": f"""

@@ -9,15 +9,10 @@ from tidemark.operators.matching import interval_join as within_interval
 from tidemark.operators.matching import reconcile
 from tidemark.operators.matching import window_join as same_window
 from tidemark.operators.patterns import order_states, order_timeouts, unpaid_orders
-from tidemark.operators.sequences import fitting_chunk
+from tidemark.plans.common import ORDER_CHUNK
 from tidemark.sources.tables import table
 
 
-def chunk_of(spark: SparkSession, sf: str) -> str:
-    """Creates stand for pays too: there is at most one per order."""
-    return fitting_chunk(table(spark, sf, "orders"), "o_orderdate", 1_000_000)
-
-
 def order_events(spark: SparkSession, sf: str) -> DataFrame:
     """order_id, event_type, ts: one create per order, one pay per order that has lines."""
     creates = table(spark, sf, "orders").select(
@@ -35,15 +30,13 @@ def order_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_timeout_cep(spark: SparkSession, sf: str) -> DataFrame:
-    chunk = chunk_of(spark, sf)
     return order_timeouts(
-        order_events(spark, sf), "order_id", "ts", "event_type", within="90 days", chunk=chunk
+        order_events(spark, sf), "order_id", "ts", "event_type", within="90 days", chunk=ORDER_CHUNK
     )
 
 
 def order_pay_match(spark: SparkSession, sf: str) -> DataFrame:
-    chunk = chunk_of(spark, sf)
-    return order_states(order_events(spark, sf), "order_id", "ts", "event_type", "90 days", chunk)
+    return order_states(order_events(spark, sf), "order_id", "ts", "event_type", "90 days", ORDER_CHUNK)
 
 
 def order_timeout_only(spark: SparkSession, sf: str) -> DataFrame:

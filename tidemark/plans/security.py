@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bursts import failure_bursts
 from tidemark.operators.patterns import failed_pairs, match_next
-from tidemark.operators.sequences import fitting_chunk
+from tidemark.plans.common import EVENT_CHUNK
 from tidemark.sources.tables import table
 
 ORDER = ["ts", "event_id"]
@@ -23,25 +23,22 @@ def failed():
 
 def login_fail_pairs(spark: SparkSession, sf: str) -> DataFrame:
     events = logins(spark, sf)
-    chunk = fitting_chunk(events, "ts")
-    return failed_pairs(events, "user_id", "ts", ORDER, failed(), "6 hours", chunk)
+    return failed_pairs(events, "user_id", "ts", ORDER, failed(), "6 hours", EVENT_CHUNK)
 
 
 def login_fail_cep(spark: SparkSession, sf: str) -> DataFrame:
     """Three adjacent steps: two failures and then a success within the time."""
     steps = [("first", failed()), ("second", failed()), ("third", ~failed())]
     events = logins(spark, sf)
-    chunk = fitting_chunk(events, "ts")
     matched = match_next(
-        events, ["user_id"], "ts", ORDER, steps, "12 hours", ["event_id"], chunk
+        events, ["user_id"], "ts", ORDER, steps, "12 hours", ["event_id"], EVENT_CHUNK
     )
     return matched.select("user_id", "first_event_id", "second_event_id", "third_event_id")
 
 
 def login_fail_burst(spark: SparkSession, sf: str) -> DataFrame:
     events = logins(spark, sf)
-    chunk = fitting_chunk(events, "ts", 500_000)
-    return failure_bursts(events, "user_id", "ts", ORDER, failed(), 2, "12 hours", chunk)
+    return failure_bursts(events, "user_id", "ts", ORDER, failed(), 2, "12 hours", EVENT_CHUNK)
 
 
 QUERIES = {

@@ -12,8 +12,8 @@ from tidemark.operators.alarms import (
     temperature_jumps,
 )
 from tidemark.operators.routing import connect, label, select_labels, union_all
-from tidemark.operators.sequences import fitting_chunk
 from tidemark.operators.windowed import sliding_first_by
+from tidemark.plans.common import EVENT_CHUNK
 from tidemark.sources.tables import table
 from tidemark.streaming.watermarks import mark_late
 
@@ -62,7 +62,7 @@ def sensor_comap(spark: SparkSession, sf: str) -> DataFrame:
 
 def sensor_rolling_min(spark: SparkSession, sf: str) -> DataFrame:
     df = readings(spark, sf)
-    return rolling_minimum(df, "id", "ts", ORDER, "temperature", fitting_chunk(df, "ts"))
+    return rolling_minimum(df, "id", "ts", ORDER, "temperature", EVENT_CHUNK)
 
 
 def sensor_window_minby(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,14 +80,12 @@ def sensor_window_minby(spark: SparkSession, sf: str) -> DataFrame:
 
 def temp_jump(spark: SparkSession, sf: str) -> DataFrame:
     df = readings(spark, sf)
-    chunk = fitting_chunk(df, "ts")
-    return temperature_jumps(df, "id", "ts", ORDER, "temperature", 10.0, chunk)
+    return temperature_jumps(df, "id", "ts", ORDER, "temperature", 10.0, EVENT_CHUNK)
 
 
 def temp_rising(spark: SparkSession, sf: str) -> DataFrame:
     df = readings(spark, sf)
-    chunk = fitting_chunk(df, "ts")
-    return steady_rises(df, "id", "ts", ORDER, "temperature", "24 hours", chunk)
+    return steady_rises(df, "id", "ts", ORDER, "temperature", "24 hours", EVENT_CHUNK)
 
 
 def late_split(spark: SparkSession, sf: str) -> DataFrame:

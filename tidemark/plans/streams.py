@@ -169,8 +169,13 @@ def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(states, "order-pay").drop("batch")
 
 
+#: The order tables are written by key, years of event time in any file: a delay that covers them all. Pairs come
+#: out when they meet, so the joins wait for nothing and lose nothing, however the input is cut into batches.
+DISORDER = "3000 days"
+
+
 def pay_receipt_streams(
-    spark: SparkSession, sf: str, delay: str = "0 seconds"
+    spark: SparkSession, sf: str, delay: str
 ) -> tuple[DataFrame, DataFrame]:
     pays = stream_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("tx"), F.col("o_orderdate").alias("pay_ts"), "o_custkey"
@@ -185,14 +190,14 @@ def pay_receipt_streams(
 
 
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf)
+    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
     pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
     rows = run_to_table(pairs, "interval-join").drop("batch")
     return to_table_time(rows, "pay_ts", "receipt_ts")
 
 
 def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf)
+    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
     pairs = window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
     rows = run_to_table(pairs, "window-join").drop("batch")
     return to_table_time(rows, "pay_ts", "receipt_ts", "window_start", "window_end")
@@ -246,7 +251,7 @@ def stream_last_hour(spark: SparkSession, sf: str) -> DataFrame:
     )
     counts = live.pane_counts(minutes, "ts", "1 minute", "1 minute", ["ads_id"])
     current = last_batch(run_to_table(counts, "last-hour", "update"), ["ads_id", "pane_start"])
-    as_of = F.lit(market.AS_OF).cast("timestamp")
+    as_of = market.report_time(current, "pane_start")
     lists = last_span_by_minute(current, "pane_start", "ads_id", as_of, market.SPAN, "n")
     return minutes_json(lists, "ads_id")
 

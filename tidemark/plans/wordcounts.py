@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.counting import running_count as counted
 from tidemark.operators.counting import timed_words
 from tidemark.operators.counting import word_count as count_words
-from tidemark.operators.sequences import fitting_chunk
 from tidemark.operators.windowed import sliding_counts
-from tidemark.plans.common import sliding_sql
+from tidemark.plans.common import EVENT_CHUNK, sliding_sql
 from tidemark.sources.tables import table
 
 
@@ -20,8 +19,7 @@ def word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def running_count(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "ts", "event_type")
-    chunk = fitting_chunk(events, "ts")
-    rows = counted(events, ["event_type"], "ts", ["ts", "event_id"], chunk)
+    rows = counted(events, ["event_type"], "ts", ["ts", "event_id"], EVENT_CHUNK)
     return rows.select("event_id", "event_type", "n")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,8 +48,15 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared `spark.checkpoint.dir`, or a local one where that is unset."""
+    """A new folder below the shared `spark.checkpoint.dir`.
+
+    Where that is unset, a local master gets a folder of this machine; on a cluster each executor would write to a
+    disk of its own, so that is refused.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return f"{shared.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"

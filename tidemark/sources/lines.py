@@ -6,6 +6,8 @@ fields, so the caller can keep, count or drop it (`good_rows`, `bad_rows`).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -32,7 +34,7 @@ def parse_delimited(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Fields of `schema` by position, plus `_corrupt`; further fields on the line are ignored."""
-    parts = F.split(F.col(line), f"[{delimiter}]", -1)
+    parts = F.split(F.col(line), re.escape(delimiter), -1)
     fields, bad = [], F.col(line).isNull() | (F.size(parts) < len(schema))
     for i, field in enumerate(schema):
         text = F.get(parts, F.lit(i))

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+#: Files of a table that one micro-batch reads at most.
+FILES_PER_BATCH = 64
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(
-    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, name: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """The same table as a stream. The path may be one file or a folder of files."""
+    """The same table as a stream of bounded micro-batches. The path may be one file or a folder of files."""
     reader = spark.readStream.schema(table(spark, folder, name).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{folder}/{name}.parquet*")
+    # a file stream wants a folder or a pattern; this pattern matches the one name
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/{name}.parque[t]")
 
 
 def collection(spark: SparkSession, rows: Iterable, schema: StructType | str) -> DataFrame:

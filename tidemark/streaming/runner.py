@@ -39,8 +39,15 @@ def start(
 
 
 def console(df: DataFrame, mode: str = "append", name: str | None = None) -> StreamingQuery:
-    """Prints every micro-batch without cutting long values; `name` labels the query."""
-    writer = df.writeStream.outputMode(mode).format("console").option("truncate", "false")
+    """Prints every row of every micro-batch without cutting long values; `name` labels the query."""
+    folder = work_dir(df.sparkSession, "console")
+    writer = (
+        df.writeStream.outputMode(mode)
+        .format("console")
+        .option("truncate", "false")
+        .option("numRows", 2**31 - 1)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+    )
     return (writer.queryName(name) if name else writer).start()
 
 
