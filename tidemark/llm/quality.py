@@ -233,14 +233,14 @@ def scored(docs: DataFrame, forest: Forest, text: str = "text", threshold: float
     """
 
     def run(batches):
-        for batch, texts in pools(batches):
+        for batch, texts in pools(batches, ("row", text)):
             score = forest.scores(statistics(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                 names=["row", "score", "predicted"],
             )
 
-    rows = docs.select(F.struct("*").alias("row"), text_of(text).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, predicted int")
 
 

@@ -114,10 +114,16 @@ class Texts:
         return sums[self.end] - sums[self.begin]
 
 
-def pools(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = POOL) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts as bytes (null: empty), of some `size` bytes each."""
+def pools(
+    batches: Iterable[pa.RecordBatch], text: str | tuple[str, str] = "text", size: int = POOL
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with their texts as bytes (null: empty), of some `size` bytes each.
+
+    `text` names a column, or a struct column and its field, which saves a second copy of texts that a row holds.
+    """
     for batch in batches:
-        column = batch.column(text).cast(pa.binary())
+        column = batch.column(text) if isinstance(text, str) else batch.column(text[0]).field(text[1])
+        column = column.cast(pa.binary())
         lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(lengths.astype(np.int64)) // size
         edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)] if len(lengths) else [0]
