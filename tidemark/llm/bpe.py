@@ -30,9 +30,9 @@ WORDS = 250_000
 #: Tokens decoded by one ordered aggregation; longer texts are decoded in consecutive parts.
 PART = 500_000
 #: Pieces that a Python worker remembers; beyond that it forgets the older half.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 #: Pieces merged by one recursive query.
-TOGETHER = 25_000
+TOGETHER = 15_000
 #: Bytes of a piece beyond which a heap takes the recursive query's place: a query step costs the piece's whole length.
 LONG_PIECE = 400
 
@@ -98,7 +98,7 @@ class Coder:
         ]
         self.pairs = {(a, b): made for a, b, made in merges}
         self.db = duckdb.connect(
-            config={"threads": 1, "memory_limit": "300MB", "temp_directory": tempfile.gettempdir()}
+            config={"threads": 1, "memory_limit": "160MB", "temp_directory": tempfile.gettempdir()}
         )
         left, right, made = (pa.array(x, pa.int64()) for x in zip(*merges))
         self._table("merges", l=left, r=right, made=made)
