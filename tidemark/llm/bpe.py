@@ -29,8 +29,8 @@ POOL = 1_000_000
 WORDS = 250_000
 #: Tokens decoded by one ordered aggregation; longer texts are decoded in consecutive parts.
 PART = 500_000
-#: Pieces that a Python worker remembers; beyond that it forgets the older half.
-REMEMBERED = 500_000
+#: Pieces that a Python worker remembers; beyond that it forgets the sixth that it has not met for longest.
+REMEMBERED = 300_000
 #: Pieces merged by one recursive query.
 TOGETHER = 15_000
 #: Bytes of a piece beyond which a heap takes the recursive query's place: a query step costs the piece's whole length.
@@ -96,7 +96,7 @@ class Coder:
             for i in range(1, len(t))
             if t[:i] in self.rank and t[i:] in self.rank
         ]
-        self.pairs = {(a, b): made for a, b, made in merges}
+        self.spelled = {made: t for t, made in self.rank.items()}
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": "160MB", "temp_directory": tempfile.gettempdir()}
         )
@@ -115,12 +115,14 @@ class Coder:
         self.db.unregister("arrived")
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remembers the ids of each piece, as little-endian 32-bit numbers."""
+        """Remembers the ids of each piece, as little-endian 32-bit numbers; pieces met last come last."""
         words = set(words)
         if len(self.known) > REMEMBERED:
-            for word in list(itertools.islice(self.known, REMEMBERED // 2)):
+            for word in list(itertools.islice(self.known, len(self.known) - REMEMBERED * 5 // 6)):
                 del self.known[word]
         new = words.difference(self.known)
+        for word in words - new:
+            self.known[word] = self.known.pop(word)
         unmerged: list[tuple[str, bytes]] = []
         for word in new:
             data = word.encode()
@@ -162,21 +164,25 @@ class Coder:
     def _merge_long(self, data: bytes) -> np.ndarray:
         """The same merges by a heap of (rank, position): leftmost pair of least rank first."""
         tok = self.bytes_of[np.frombuffer(data, np.uint8)].tolist()
+
+        def pair(a: int, b: int) -> int | None:
+            return self.rank.get(self.spelled[a] + self.spelled[b])
+
         after, before = list(range(1, len(tok) + 1)), list(range(-1, len(tok) - 1))
-        heap = [(made, i) for i in range(len(tok) - 1) if (made := self.pairs.get((tok[i], tok[i + 1]))) is not None]
+        heap = [(made, i) for i in range(len(tok) - 1) if (made := pair(tok[i], tok[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             made, i = heapq.heappop(heap)
             j = after[i]
-            if tok[i] < 0 or j >= len(tok) or self.pairs.get((tok[i], tok[j])) != made:
+            if tok[i] < 0 or j >= len(tok) or pair(tok[i], tok[j]) != made:
                 continue
             tok[i], tok[j], after[i] = made, -1, after[j]
             if after[i] < len(tok):
                 before[after[i]] = i
             for a in (before[i], i):
                 b = after[a] if a >= 0 else len(tok)
-                if b < len(tok) and (pair := self.pairs.get((tok[a], tok[b]))) is not None:
-                    heapq.heappush(heap, (pair, a))
+                if b < len(tok) and (made := pair(tok[a], tok[b])) is not None:
+                    heapq.heappush(heap, (made, a))
         return np.array([t for t in tok if t >= 0], dtype=np.int32)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
