@@ -5,15 +5,15 @@ A query that appends only closed windows is checked with the same cut in SQL (se
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.eventtime import to_stream_time, to_table_time
+from tidemark.functions.eventtime import epoch_us, micros, to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
 from tidemark.operators.clicks import click_counts, count_fields, last_span_by_minute, minutes_json
 from tidemark.operators.counting import word_count
-from tidemark.operators.matching import interval_join, reconcile, window_join
+from tidemark.operators.matching import CHANNELS, interval_join, reconcile, window_join
 from tidemark.operators.ranking import top_keys
 from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
 from tidemark.plans import market, orders, sensors, traffic
@@ -163,16 +163,39 @@ def order_streams(spark: SparkSession, sf: str) -> DataFrame:
     return to_stream_time(creates.unionByName(pays), "ts")
 
 
-def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
-    stream = bounded(order_streams(spark, sf), "ts", "1 hour")
-    states = order_states_stream(stream, "order_id", "ts", "event_type", "90 days", "400 days")
-    return run_to_table(states, "order-pay").drop("batch")
-
-
 #: The order tables are written by key, years of event time in any file: a delay that covers them all. Pairs come
 #: out when they meet, so the joins wait for nothing and lose nothing, however the input is cut into batches.
 DISORDER = "3000 days"
 
+#: At the end of the input, what ended this long before its last event counts as closed.
+CLOSES_AFTER = "1 hour"
+
+
+def _closing(*times: DataFrame) -> Column:
+    """`CLOSES_AFTER` before the last time of the table that ends first, in microseconds; each has one column."""
+    heads = [t.agg(F.max(epoch_us(t.columns[0]))).first()[0] for t in times]
+    last = min((h for h in heads if h is not None), default=None)
+    return F.lit(last).cast("long") - F.lit(micros(CLOSES_AFTER))
+
+
+def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions come once the watermark has passed them; those still open at the end of the input are completed
+    over the events that the batches wrote, up to `CLOSES_AFTER` before the last event.
+    """
+    stream = order_streams(spark, sf)
+    rules = {"limit": "90 days", "late_wait": "400 days", "session": "session"}
+    closed = run_to_table(
+        order_states_stream(bounded(stream, "ts", DISORDER), "order_id", "ts", "event_type", **rules), "order-pay"
+    ).drop("batch")
+    kept = run_to_table(stream, "order-events").drop("batch")
+    states = order_states_stream(kept, "order_id", "ts", "event_type", **rules)
+    known = closed.select(F.col("order_id").alias("_id"), F.col("session").alias("_session")).distinct()
+    ended = F.col("session.until") < _closing(kept.select("ts"))
+    left_open = states.where(ended).join(
+        known, F.col("order_id").eqNullSafe(F.col("_id")) & (F.col("session") == F.col("_session")), "left_anti"
+    )
+    return closed.unionByName(left_open).drop("session")
+
 
 def pay_receipt_streams(
     spark: SparkSession, sf: str, delay: str
@@ -204,12 +227,20 @@ def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """One-sided rows come once the watermark has passed their wait."""
-    pays, receipts = pay_receipt_streams(spark, sf, "1 hour")
-    rows = reconcile(
+    """Pairs come when they meet. One-sided rows are told at the end of the input, over the rows that the batches
+    wrote, where their wait ended `CLOSES_AFTER` before the last row of the slower side.
+    """
+    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
+    pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-3 days", "5 days")
+    matched = run_to_table(pairs, "reconcile").drop("batch").withColumn("channel", F.lit(CHANNELS[0]))
+    pays = run_to_table(pays, "reconcile-pays").drop("batch")
+    receipts = run_to_table(receipts, "reconcile-receipts").drop("batch")
+    closing = _closing(pays.select("pay_ts"), receipts.select("receipt_ts"))
+    waited = F.coalesce(epoch_us("pay_ts") + micros("5 days"), epoch_us("receipt_ts") + micros("3 days"))
+    one_sided = reconcile(
         pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days"
-    )
-    return to_table_time(run_to_table(rows, "reconcile").drop("batch"), "pay_ts", "receipt_ts")
+    ).where((F.col("channel") != CHANNELS[0]) & (waited < closing))
+    return to_table_time(matched.unionByName(one_sided), "pay_ts", "receipt_ts")
 
 
 def stream_click_cap(spark: SparkSession, sf: str) -> DataFrame:
