@@ -1,8 +1,8 @@
 """Personal data: rules for the plain forms, and a character tagger that adds spans in forms the rules do not know.
 
-The tagger reads overlapping windows; the spans of all windows of a text are reconciled together. Every kind of span
-holds a digit or an @, and a span without either is never kept, so windows without any such character are not
-read: they could add nothing. All others are, whatever the length of the text.
+The tagger reads overlapping windows; the spans of all windows of a text are reconciled together. It reads the windows
+around each digit, @, bracketed "at" and written "dot", in any spelling and whatever the length of the text: the forms
+that `plausible` knows all hold one of these.
 """
 
 from __future__ import annotations
@@ -36,6 +36,19 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGNS = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
+# what a span that the tagger adds holds at least one of, and the runs around it that windows must cover as well
+_MARKS = re.compile(r"[0-9@]|[\[({<]\s?at\s?[\])}>]|\bdot\b", re.I)
+BESIDE = 3
+_ON = re.compile(rf"\S*(?:\s{{1,2}}\S+){{0,{BESIDE}}}")
+_RUN = re.compile(r"\S*")
+_WRITTEN_DOT = r"(?: ?[\[({<] ?(?:dot|\.) ?[\])}>] ?|\sdot\s)"
+_ADDRESS = re.compile(
+    rf"[\w.%+-]+(?:{_WRITTEN_DOT}[\w.%+-]+)*(?: ?@ ?| ?[\[({{<] ?(?:at|@) ?[\])}}>] ?|(?P<bare>\sat\s))"
+    rf"[\w-]+(?:(?: ?\. ?|{_WRITTEN_DOT})[A-Za-z0-9-]+)+",
+    re.I,
+)
+_YEAR = r"(?:1[5-9]|20)[0-9]{2}"
+_DATES = re.compile(rf"{_YEAR}[ ./-]+[0-9]{{1,2}}[ ./-]+[0-9]{{1,2}}|[0-9]{{1,2}}[ ./-]+[0-9]{{1,2}}[ ./-]+{_YEAR}|{_YEAR}[ ./-]+{_YEAR}")
 
 
 def luhn(digits: str) -> bool:
@@ -103,13 +116,20 @@ def _forms(rng: np.random.Generator, words: list[str]) -> list[tuple[int, str]]:
     card = _with_check(rng.choice(["4", "5", "3"]) + d(14))
     fours = [card[i : i + 4] for i in range(0, 16, 4)]
     area, mid, last = d(3), d(3), d(4)
+    at, dot = [(" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "."), (" [at] ", "."), (" {at} ", " {dot} ")][rng.integers(6)]
+    spaced_at, spaced_dot = [(" at ", " dot "), (" AT ", " DOT ")][int(rng.random() < 0.2)]
+    if rng.random() < 0.2:
+        at, dot = at.upper(), dot.upper()
     return [
         (0, f"{local}@{host}.{top}"), (0, f"{local}@{host}.{top}"), (0, f"{local} @ {host}.{top}"),
         (0, f"{local}@{host}[dot]{top.split('.')[0]}"), (0, f"{local}@{host} . {top.split('.')[0]}"),
+        (0, f"{local}{at}{host}{dot}{top.replace('.', dot)}"), (0, f"{local}{at}{host}{dot}{top.replace('.', dot)}"),
+        (0, f"{local}{spaced_at}{host}{spaced_dot}{top.replace('.', spaced_dot)}"),
         (1, ".".join(parts)), (1, "[.]".join(parts)), (1, " . ".join(parts)),
         (2, card), (2, card), (2, " ".join(fours)), (2, "-".join(fours)), (2, ".".join(fours)),
         (3, f"+1 ({area}) {mid}-{last}"), (3, f"+{d(2)} {d(3)} {d(7)}"), (3, f"({area}) {mid}-{last}"),
         (3, f"{area}-{mid}-{last}"), (3, f"{area}.{mid}.{last}"), (3, f"1-{area}-{mid}-{last}"), (3, f"({area}) {mid} {last}"),
+        (3, f"({d(2)}) {mid}-{last}"), (3, f"{mid}-{d(2)}-{last}"), (3, f"{d(4)}-{last}"), (3, f"({d(2)}) {d(3)} {d(3)}"),
     ]
 
 
@@ -121,7 +141,7 @@ def _others(rng: np.random.Generator) -> list[str]:
 
     year, month, day = rng.integers(1900, 2030), rng.integers(1, 13), rng.integers(1, 29)
     return [
-        f"{year}-{month:02}-{day:02}", f"{day}/{month}/{year}", f"{day}.{month}.{year}", f"{year}", f"${d(3)},{d(3)}.{d(2)}",
+        f"at {'abc'[rng.integers(3)]} dot", f"{year}-{year + rng.integers(1, 9)}", f"{year}-{month:02}-{day:02}", f"{day}/{month}/{year}", f"{day}.{month}.{year}", f"{year}", f"${d(3)},{d(3)}.{d(2)}",
         f"{rng.integers(24)}:{d(2)}:{d(2)}", f"v{rng.integers(20)}.{rng.integers(20)}.{rng.integers(99)}", d(rng.integers(1, 9)),
         d(rng.integers(20, 30)), f'token = "{rng.bytes(20).hex()}"', rng.bytes(20).hex().upper(), f"@{'abc'[rng.integers(3)]}",
         f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", f"{d(2)}-{d(2)}", f"{d(1)}.{d(2)} %", f"No. {d(4)}-{d(2)}", f"{d(5)}-{d(5)}-{d(5)}", f"{d(3)},{d(3)},{d(3)}",
@@ -184,16 +204,18 @@ def train_tagger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
 
 
 def plausible(kind: int, span: str) -> bool:
-    """What a span that the tagger adds must be like; it must hold a digit or an @ in any case."""
+    """What a span that the tagger adds must be like. An "at" without brackets needs a written "dot": others are prose."""
     digits = "".join(_DIGIT.findall(span))
     if kind == 0:
-        return re.fullmatch(r"[\w.%+-]+ ?@ ?[\w-]+(?: ?(?:\.|\[dot\]|\(dot\)|\[\.\]) ?[A-Za-z0-9-]+)+", span) is not None
+        found = _ADDRESS.fullmatch(span)
+        return found is not None and (found["bare"] is None or re.search(r"\bdot\b", span[found.end("bare") :], re.I) is not None)
     if kind == 1:
         found = re.fullmatch(r"([0-9]{1,3})(?: ?\[?\.\]? ?([0-9]{1,3})){3}", span)
         return found is not None and all(int(p) <= 255 for p in re.findall("[0-9]+", span))
     if kind == 2:
         return re.fullmatch(r"[0-9]+(?:[ ./-][0-9]+)*", span) is not None and 13 <= len(digits) <= 19 and luhn(digits)
-    return re.fullmatch(r"\+?[0-9(](?:[ ().-]{0,2}[0-9])+", span) is not None and 10 <= len(digits) <= 15 and len(digits) < len(span)
+    formed = re.fullmatch(r"\+?[0-9(](?:[ ().-]{0,2}[0-9])+", span) is not None and len(digits) < len(span)
+    return formed and 8 <= len(digits) <= 15 and (len(digits) > 9 or _DATES.fullmatch(span) is None)
 
 
 def _window_spans(tags: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -235,9 +257,21 @@ def added_spans(text: str, starts: list[int], tags: np.ndarray, scores: np.ndarr
     return out
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts of the windows, one each `STRIDE`, that hold a digit or an @."""
-    found = np.array([m.start() for m in _SIGNS.finditer(text)], np.int64)
+def _around(text: str) -> Iterator[np.ndarray]:
+    """Places from `BESIDE` runs before each mark to as many after it, a run being all between white space."""
+    done = 0
+    for m in _MARKS.finditer(text):
+        if m.start() < done:
+            continue
+        before = text[done : m.start()].rsplit(None, BESIDE + 1)
+        start = done + len(before[0]) if len(before) == BESIDE + 2 else done
+        yield np.arange(start, _ON.match(text, m.end() - 1).end())
+        done = _RUN.match(text, m.end() - 1).end()
+
+
+def window_starts(text: str, around: bool = False) -> list[int]:
+    """Starts of the windows, one each `STRIDE`, that hold a digit or an @; with `around` those of all marks and the runs beside them."""
+    found = np.concatenate([np.zeros(0, np.int64), *_around(text)]) if around else np.array([m.start() for m in _SIGNS.finditer(text)], np.int64)
     if not len(found):
         return []
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
@@ -250,7 +284,7 @@ def window_starts(text: str) -> list[int]:
 def find_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text, both ordered by kind and start."""
     out = [(base_spans(t), []) for t in texts]
-    starts = [window_starts(t) for t in texts]
+    starts = [window_starts(t, around=True) for t in texts]
     gathered: list[tuple[int, int]] = [(i, s) for i, some in enumerate(starts) for s in some]
     tags, scores = {}, {}
     for a in range(0, len(gathered), TOGETHER):
