@@ -1,5 +1,6 @@
 """Personal data in written-out forms, and spans longer than what two windows share."""
 
+import numpy as np
 import pytest
 from test_learned import carriers
 
@@ -38,3 +39,39 @@ def test_tagger_finds_written_out_addresses():
     found = [{t[a:b] for _, a, b in every} for t, (_, every) in zip(texts, pii.find_spans(texts, tagger))]
     hits = sum(form in f for form, f in zip(forms, found))
     assert hits >= 0.7 * len(forms), (hits, len(forms))
+
+
+class _Exact:
+    """Scores of a tagger that tags every character between quotes in each window, cut or not, as an address."""
+
+    tags = 9
+
+    def __init__(self):
+        self.best = Tagger(len(pii.KINDS)).best
+
+    def emissions(self, x):
+        inside = (x > 64) & (x < 91) | (x == 32) | (x == 14) | (x == 95)  # small letters, @, dots, blanks within an address
+        first = inside & ~np.pad(inside, ((0, 0), (1, 0)))[:, :-1]
+        scores = np.zeros((*x.shape, 9), np.float32)
+        scores[..., 0] = 40.0 * ~inside
+        scores[..., 1] = 50.0 * first * ~(np.arange(x.shape[1]) == 0)
+        scores[..., 2] = 40.0 * inside
+        return scores
+
+
+def test_a_long_span_is_found_at_every_offset():
+    for address in ("first.last @ mail.department.university.example.edu", "a" * 70 + ".b @ " + "mail." * 20 + "example.edu"):
+        for offset in range(pii.STRIDE):
+            text = f"{'ABC' * 40}{'A' * offset}!{address}!{'ABC' * 60}"
+            ((_, every),) = pii.find_spans([text], _Exact())
+            at = text.index(address)
+            assert every == [(0, at, at + len(address))], offset
+
+
+def test_the_trained_tagger_finds_a_long_span_at_most_offsets():
+    tagger = Tagger(len(pii.KINDS))
+    tagger.train(*pii.labelled_windows(carriers(1)), epochs=pii.EPOCHS)
+    address, pad = "first.last @ mail.department.university.example.edu", "wor lait sone hert and dlin eto "
+    texts = [f"{pad * 4}{'x' * offset} {address} {pad * 4}" for offset in range(pii.STRIDE)]
+    found = [address in {t[a:b] for _, a, b in every} for t, (_, every) in zip(texts, pii.find_spans(texts, tagger))]
+    assert sum(found) >= 0.8 * len(found), sum(found)

@@ -1,12 +1,15 @@
 """Personal data: rules for the plain forms, and a character tagger that adds spans in forms the rules do not know.
 
-The tagger reads overlapping windows; the spans of all windows of a text are reconciled together. It reads the windows
+The tagger reads overlapping windows; their scores are joined place by place, and one best path goes over each stretch of
+windows that meet, so a span of any length is one span wherever the windows cut it. It reads the windows
 around each digit, @, bracketed "at" and written "dot", in any spelling and whatever the length of the text: the forms
 that `plausible` knows all hold one of these.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -231,41 +234,74 @@ def _window_spans(tags: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield kind, start, i
 
 
-def added_spans(text: str, starts: list[int], tags: np.ndarray, scores: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans over all windows of a text that add to the base spans.
+# a place counts by its distance from its window's edges, where the network has seen little of one side
+_WEIGHT = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1).astype(np.float32)
 
-    A span counts in each window that holds all of it; one that touches a window's inner edge may be cut and counts
-    only where it does not. Spans are then taken by the number of windows that agree, their mean score over "outside",
-    length and place; later ones that overlap a base span or one already taken go.
-    """
-    votes: dict[tuple[int, int, int], list[float]] = {}
-    for start, row, score in zip(starts, tags, scores):
-        inside = min(WINDOW, len(text) - start)
-        for kind, a, b in _window_spans(row[:inside]):
-            if (a == 0 and start > 0) or (b == inside and start + inside < len(text)):
-                continue
-            lead = score[a:b, 2 * kind + 1 : 2 * kind + 3].max(1) - score[a:b, 0]
-            votes.setdefault((kind, start + a, start + b), []).append(float(lead.mean()))
-    taken = [(a, b) for _, a, b in base]
-    out = []
-    for (kind, a, b), lead in sorted(votes.items(), key=lambda v: (-len(v[1]), -sum(v[1]) / len(v[1]), v[0][1] - v[0][2], v[0])):
-        beside = text[a - 1 : a] + text[b : b + 1]
-        if any(a < d and c < b for c, d in taken) or any(c.isalnum() for c in beside) or not plausible(kind, text[a:b]):
+
+def joined_scores(length: int, starts: list[int], scores: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
+    """(start, scores by place) of each stretch of a text of `length` that overlapping windows cover: means over the windows."""
+    out, first = [], 0
+    for i in range(1, len(starts) + 1):
+        if i < len(starts) and starts[i] < starts[i - 1] + WINDOW:
             continue
-        taken.append((a, b))
-        out.append((kind, a, b))
+        begin, end = starts[first], min(length, starts[i - 1] + WINDOW)
+        total, weight = np.zeros((end - begin, scores[0].shape[1]), np.float32), np.zeros((end - begin, 1), np.float32)
+        for start, score in zip(starts[first:i], scores[first:i]):
+            n = min(WINDOW, length - start)
+            w = _WEIGHT[:n, None]
+            total[start - begin : start - begin + n] += w * score[:n]
+            weight[start - begin : start - begin + n] += w
+        out.append((begin, total / weight))
+        first = i
+    return out
+
+
+def best_paths(tagger: Tagger, stretches: list[np.ndarray]) -> list[np.ndarray]:
+    """Best tags of each stretch; stretches of like length go together, filled up with places outside any span."""
+    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(stretches)
+    order = sorted(range(len(stretches)), key=lambda i: len(stretches[i]))
+    a = 0
+    while a < len(order):
+        b = a + 1
+        while b < len(order) and len(stretches[order[b]]) * (b + 1 - a) <= TOGETHER * WINDOW:
+            b += 1
+        some = order[a:b]
+        scores = np.full((len(some), len(stretches[some[-1]]), tagger.tags), -1e4, np.float32)
+        scores[:, :, 0] = 0
+        for row, i in enumerate(some):
+            scores[row, : len(stretches[i])] = stretches[i]
+        for row, i in zip(tagger.best(scores), some):
+            out[i] = row[: len(stretches[i])]
+        a = b
+    return out
+
+
+def added_spans(text: str, paths: list[tuple[int, np.ndarray]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans of a text's stretches that are plausible, end at no letter or digit, and overlap no base span."""
+    places = sorted((a, b) for _, a, b in base)
+    # the farthest end of all base spans up to each, so one look to the left is enough
+    begins, ends = [a for a, _ in places], list(itertools.accumulate((b for _, b in places), max))
+    out = []
+    for start, tags in paths:
+        for kind, a, b in _window_spans(tags):
+            a, b = start + a, start + b
+            beside = text[a - 1 : a] + text[b : b + 1]
+            at = bisect.bisect_left(begins, b)
+            if (at and ends[at - 1] > a) or any(c.isalnum() for c in beside) or not plausible(kind, text[a:b]):
+                continue
+            out.append((kind, a, b))
     return out
 
 
 def _around(text: str) -> Iterator[np.ndarray]:
-    """Places from `BESIDE` runs before each mark to as many after it, a run being all between white space."""
+    """Every `STRIDE` a place from `BESIDE` runs before each mark to as many after it, a run being all between white space."""
     done = 0
     for m in _MARKS.finditer(text):
         if m.start() < done:
             continue
         before = text[done : m.start()].rsplit(None, BESIDE + 1)
         start = done + len(before[0]) if len(before) == BESIDE + 2 else done
-        yield np.arange(start, _ON.match(text, m.end() - 1).end())
+        yield np.arange(start // STRIDE * STRIDE, _ON.match(text, m.end() - 1).end(), STRIDE)
         done = _RUN.match(text, m.end() - 1).end()
 
 
@@ -286,20 +322,32 @@ def find_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
     out = [(base_spans(t), []) for t in texts]
     starts = [window_starts(t, around=True) for t in texts]
     gathered: list[tuple[int, int]] = [(i, s) for i, some in enumerate(starts) for s in some]
-    tags, scores = {}, {}
+    scores: dict[int, list[np.ndarray]] = {}
+    ready: list[tuple[int, int, np.ndarray]] = []
+
+    def settle() -> None:
+        paths: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for (i, start, _), path in zip(ready, best_paths(tagger, [r[2] for r in ready])):
+            paths.setdefault(i, []).append((start, path))
+        for i, some in paths.items():
+            out[i][1].extend(added_spans(texts[i], some, out[i][0]))
+        ready.clear()
+
     for a in range(0, len(gathered), TOGETHER):
         some = gathered[a : a + TOGETHER]
         x = np.zeros((len(some), WINDOW), np.int64)
         for row, (i, s) in enumerate(some):
             part = codes(texts[i][s : s + WINDOW])
             x[row, : len(part)] = part
-        for (i, _), t, score in zip(some, *tagger.decode(x)):
-            tags.setdefault(i, []).append(t)
+        for (i, _), score in zip(some, tagger.emissions(x)):
             scores.setdefault(i, []).append(score)
         # a text is done once the next window is of another text
         following = gathered[a + TOGETHER][0] if a + TOGETHER < len(gathered) else len(texts)
-        for i in [i for i in tags if i < following]:
-            out[i][1].extend(added_spans(texts[i], starts[i], tags.pop(i), scores.pop(i), out[i][0]))
+        for i in [i for i in scores if i < following]:
+            ready += [(i, start, stretch) for start, stretch in joined_scores(len(texts[i]), starts[i], scores.pop(i))]
+        if sum(len(r[2]) for r in ready) >= TOGETHER * WINDOW:
+            settle()
+    settle()
     return [(base, sorted(base + more)) for base, more in out]
 
 

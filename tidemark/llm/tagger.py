@@ -152,7 +152,14 @@ class Tagger:
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags of each window (Viterbi) and each window's emission scores."""
         scores = self._emissions(x)
-        n, length = x.shape
+        return self.best(scores), scores
+
+    def emissions(self, x: np.ndarray) -> np.ndarray:
+        return self._emissions(x)
+
+    def best(self, scores: np.ndarray) -> np.ndarray:
+        """Best tags for emission scores (row, position, tag) by Viterbi."""
+        n, length = scores.shape[:2]
         step = self.p["step"] + self.barred
         best = self.p["begin"] + self.barred_begin + scores[:, 0]
         came = np.empty((length, n, self.tags), np.int8)
@@ -165,4 +172,4 @@ class Tagger:
         line = np.arange(n)
         for t in range(length - 1, 0, -1):
             tags[:, t - 1] = came[t][line, tags[:, t]]
-        return tags, scores
+        return tags
