@@ -4,7 +4,7 @@ Nothing else in the library imports this package. QUERIES holds functions `name(
 some of them are checked against.
 """
 
-from tidemark.llm import bpe, linededup, mixing, multiset, phrases, pii, quality, repetition, simhash, template, warc
+from tidemark.llm import bpe, linededup, mixing, multiset, phrases, pii, quality, repair, repetition, simhash, spelling, template, warc
 
 QUERIES = {
     "op1_line_dedup": linededup.op1_line_dedup,
@@ -18,10 +18,13 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_quality": quality.op10_quality,
     "op11_phrases": phrases.op11_phrases,
+    "op12_spelling": spelling.op12_spelling,
+    "op13_token_files": repair.op13_token_files,
 }
 SQL = {
     "op1_line_dedup": linededup.OP1_SQL,
     "op2_mix_sources": mixing.OP2_SQL,
     "op9_warc": warc.OP9_SQL,
     "op11_phrases": phrases.OP11_SQL,
+    "op12_spelling": spelling.OP12_SQL,
 }
