@@ -120,21 +120,28 @@ def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
 
     exact = F.col("first") == F.col("here")
     to = F.col("at") + size
+
+    def reached(at: Column, edits: int) -> Column:
+        """The state at the child, null where nothing can come of it."""
+        ahead = F.length("word") - at
+        near = F.col("terminal") & (ahead == 1 - edits)
+        onward = F.col("after") != ""
+        if edits:
+            onward = (ahead > 0) & F.col("after").contains(F.substr("word", at + 1, F.lit(1)))
+        return F.when(near | onward, F.struct(at.alias("at"), F.lit(edits).alias("edits"), near.alias("near"), onward.alias("alive")))
+
     moves = F.array(
-        F.when(exact, F.struct(to.alias("at"), F.lit(0).alias("edits"))),
-        F.when(~exact & (left > 0) & (rest(1, size - 1) == tail), F.struct(to.alias("at"), F.lit(1).alias("edits"))),
-        F.when(~exact & (rest(0, size - 1) == tail), F.struct((to - 1).alias("at"), F.lit(1).alias("edits"))),
-        F.when(~exact & (left > 0) & (rest(1, size) == F.col("label")), F.struct((to + 1).alias("at"), F.lit(1).alias("edits"))),
+        F.when(exact, reached(to, 0)),
+        F.when(~exact & (left > 0) & (rest(1, size - 1) == tail), reached(to, 1)),
+        F.when(~exact & (rest(0, size - 1) == tail), reached(to - 1, 1)),
+        F.when(~exact & (left > 0) & (rest(1, size) == F.col("label")), reached(to + 1, 1)),
     )
-    clean = states.where("edits = 0").join(edges, ["node", "salt"]).withColumn("move", F.explode(F.array_compact(moves)))
-    clean = clean.select("word", "move.at", F.col("child").alias("node"), "move.edits", "terminal", "after")
+    edges = edges.hint("shuffle_hash")  # a task's edges are few beside its states
+    clean = states.where("edits = 0").join(edges, ["node", "salt"]).select("word", "child", F.explode(moves).alias("move"))
     edited = states.where("edits = 1").withColumnRenamed("here", "first").join(edges, ["node", "salt", "first"])
-    edited = edited.where(rest(0, size) == F.col("label")).select("word", to.alias("at"), F.col("child").alias("node"), "edits", "terminal", "after")
-    ahead = F.length("word") - F.col("at")
-    near = F.col("terminal") & (((F.col("edits") == 1) & (ahead == 0)) | ((F.col("edits") == 0) & (ahead == 1)))
-    alive = (F.col("after") != "") & ((F.col("edits") == 0) | ((ahead > 0) & F.col("after").contains(F.substr("word", F.col("at") + 1, F.lit(1)))))
-    out = clean.unionByName(edited).select("word", "at", "node", "edits", near.alias("near"), alive.alias("alive"))
-    return out.where(F.col("near") | F.col("alive"))
+    edited = edited.where(rest(0, size) == F.col("label")).select("word", "child", reached(to, 1).alias("move"))
+    found = clean.unionByName(edited).where("move IS NOT NULL")
+    return found.select("word", "move.at", F.col("child").alias("node"), "move.edits", "move.near", "move.alive")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
