@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import epoch_us, micros, step_index
+from tidemark.functions.eventtime import epoch_us, interval_text, micros, step_index
 
 
 def window_join(
@@ -137,3 +137,53 @@ def reconciled(pays, receipts, key, pay_ts, receipt_ts, **waits) -> dict[str, Da
     """The three outputs of `reconcile` by name."""
     rows = reconcile(pays, receipts, key, pay_ts, receipt_ts, **waits)
     return {c: rows.where(F.col("channel") == c).drop("channel") for c in CHANNELS}
+
+
+def reconcile_first(
+    log: DataFrame, key: str, ts: str, side: str, row: str, pay_waits: str = "5 seconds", receipt_waits: str = "3 seconds"
+) -> DataFrame:
+    """One-to-one matching, first in, first out: `key`, `pay`, `receipt` (their `row`, null where missing), `channel`.
+
+    `log` holds both sides, `side` telling "pay" from "receipt". In event-time order each row takes the oldest row of
+    the other side that still waits; where there is none it waits itself, a pay for `pay_waits`, a receipt for
+    `receipt_waits`, both ends included. Of equal times a pay comes first, then the lesser `row`.
+
+    Rows that can meet are in one session, which each of them keeps open for its wait. A session is matched by
+    itself, so a busy key is spread over its sessions, and a stream with a watermark on `ts` drops the state of
+    each once it has ended.
+    """
+    waits = F.when(F.col(side) == "pay", micros(pay_waits)).otherwise(micros(receipt_waits))
+    stay = F.when(F.col(side) == "pay", interval_text(micros(pay_waits) + 1)).otherwise(interval_text(micros(receipt_waits) + 1))
+    event = F.struct(
+        epoch_us(ts).alias("us"), F.when(F.col(side) == "pay", 0).otherwise(1).alias("kind"), F.col(row).alias("row"), (epoch_us(ts) + waits).alias("until")
+    )
+    sessions = log.groupBy(F.session_window(ts, stay).alias("_session"), key).agg(F.array_sort(F.collect_list(event)).alias("_events"))
+    kinds = sessions.schema["_events"].dataType.simpleString()
+    pair = kinds.replace("array<", "", 1)[:-1]
+    pairs = f"array<struct<a:{pair},b:{pair}>>"
+
+    def step(state, now):
+        # all rows in the queue are of one side: one of the other would have taken its oldest
+        alive = F.filter(state["queue"], lambda x: x["until"] >= now["us"])
+        gone = F.filter(state["queue"], lambda x: x["until"] < now["us"])
+        given_up = F.transform(gone, lambda x: F.struct(x.alias("a"), F.lit(None).cast(pair).alias("b")))
+        met = (F.size(alive) > 0) & (F.get(alive, F.lit(0))["kind"] != now["kind"])
+        both = F.array(F.struct(F.get(alive, F.lit(0)).alias("a"), now.alias("b")))
+        queue = F.when(met, F.slice(alive, 2, F.greatest(F.size(alive) - 1, F.lit(0)))).otherwise(F.array_append(alive, now))
+        done = F.concat(state["done"], given_up, F.when(met, both).otherwise(F.array().cast(pairs)))
+        return F.struct(queue.alias("queue"), done.cast(pairs).alias("done"))
+
+    start = F.struct(F.array().cast(kinds).alias("queue"), F.array().cast(pairs).alias("done"))
+
+    def finish(state):
+        left = F.transform(state["queue"], lambda x: F.struct(x.alias("a"), F.lit(None).cast(pair).alias("b")))
+        return F.concat(state["done"], left)
+
+    found = sessions.select(key, F.explode(F.aggregate("_events", start, step, finish)).alias("_x"))
+    first_is_pay = F.col("_x.a.kind") == 0
+    return found.select(
+        key,
+        F.when(first_is_pay, F.col("_x.a.row")).otherwise(F.col("_x.b.row")).alias("pay"),
+        F.when(first_is_pay, F.col("_x.b.row")).otherwise(F.col("_x.a.row")).alias("receipt"),
+        F.when(F.col("_x.b").isNotNull(), CHANNELS[0]).when(first_is_pay, CHANNELS[1]).otherwise(CHANNELS[2]).alias("channel"),
+    )

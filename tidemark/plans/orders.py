@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.matching import interval_join as within_interval
-from tidemark.operators.matching import reconcile
+from tidemark.operators.matching import reconcile, reconcile_first
 from tidemark.operators.matching import window_join as same_window
 from tidemark.operators.patterns import order_states, order_timeouts, unpaid_orders
 from tidemark.plans.common import ORDER_CHUNK
@@ -83,7 +83,29 @@ def tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tx_log(pays: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Both sides in one log: tx, ts, side, row (time and the other party)."""
+    parts = [
+        df.select("tx", F.col(ts).alias("ts"), F.lit(side).alias("side"), F.struct(F.col(ts).alias("ts"), F.col(party).alias("party")).alias("row"))
+        for df, ts, side, party in ((pays, "pay_ts", "pay", "o_custkey"), (receipts, "receipt_ts", "receipt", "l_suppkey"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def first_matches(log: DataFrame) -> DataFrame:
+    found = reconcile_first(log, "tx", "ts", "side", "row", pay_waits="5 days", receipt_waits="3 days")
+    return found.select(
+        "tx", F.col("pay.ts").alias("pay_ts"), F.col("pay.party").alias("o_custkey"),
+        F.col("receipt.ts").alias("receipt_ts"), F.col("receipt.party").alias("l_suppkey"), "channel",
+    )
+
+
+def tx_reconcile_first(spark: SparkSession, sf: str) -> DataFrame:
+    return first_matches(tx_log(*pays_and_receipts(spark, sf)))
+
+
 QUERIES = {
+    "tx_reconcile_first": tx_reconcile_first,
     "order_timeout_cep": order_timeout_cep,
     "order_pay_match": order_pay_match,
     "order_timeout_only": order_timeout_only,
@@ -105,6 +127,24 @@ _NEAR = """p.tx = r.tx AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL '{low}'
 _FIELDS = "p.tx, pay_ts, o_custkey, receipt_ts, l_suppkey"
 
 
+# A transaction has one pay, which takes the first receipt in reach; of equal receipts one.
+_FIRST = f"""
+    SELECT tx, pay_ts, o_custkey, receipt_ts, l_suppkey, id FROM (
+      SELECT p.*, receipt_ts, l_suppkey, id, row_number() OVER (PARTITION BY p.tx ORDER BY receipt_ts, l_suppkey, id) AS place
+      FROM {_PAYS} p JOIN numbered r
+      ON {_NEAR.format(low="3 days", high="5 days")}) WHERE place = 1"""
+
+# Runs of a transaction's rows, each within the wait of one before it.
+TX_SESSIONS = """
+    SELECT tx, min(ts) AS since, max(until) AS until FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY tx ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session FROM (
+        SELECT *, CASE WHEN ts > max(until) OVER (PARTITION BY tx ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                       THEN 1 ELSE 0 END AS fresh FROM (
+          SELECT o_orderkey AS tx, o_orderdate AS ts, 0 AS side, o_orderdate + INTERVAL '5 days' AS until FROM orders
+          UNION ALL SELECT l_orderkey, l_shipdate, 1, l_shipdate + INTERVAL '3 days' FROM lineitem)))
+    GROUP BY tx, session"""
+
+
 def bucket(column: str) -> str:
     return f"time_bucket(INTERVAL '15 days', {column}, TIMESTAMP '1970-01-01')"
 
@@ -152,4 +192,14 @@ SQL = {
            CASE WHEN r.tx IS NULL THEN 'unmatched_pay' WHEN p.tx IS NULL THEN 'unmatched_receipt'
                 ELSE 'matched' END AS channel
     FROM {_PAYS} p FULL JOIN {_RECEIPTS} r ON {_NEAR.format(low="3 days", high="5 days")}""",
+    "tx_reconcile_first": f"""
+    WITH numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY tx ORDER BY receipt_ts, l_suppkey) AS id FROM {_RECEIPTS}),
+    first AS ({_FIRST})
+    SELECT tx, pay_ts, o_custkey, receipt_ts, l_suppkey, 'matched' AS channel FROM first
+    UNION ALL
+    SELECT o_orderkey, o_orderdate, o_custkey, NULL, NULL, 'unmatched_pay' FROM orders WHERE o_orderkey NOT IN (SELECT tx FROM first)
+    UNION ALL
+    SELECT tx, NULL, NULL, receipt_ts, l_suppkey, 'unmatched_receipt' FROM numbered l
+    WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.tx = l.tx AND f.id = l.id)""",
 }

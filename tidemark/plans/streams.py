@@ -5,15 +5,15 @@ A query that appends only closed windows is checked with the same cut in SQL (se
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.eventtime import epoch_us, micros, to_stream_time, to_table_time
+from tidemark.functions.eventtime import to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
 from tidemark.operators.clicks import click_counts, count_fields, last_span_by_minute, minutes_json
 from tidemark.operators.counting import word_count
-from tidemark.operators.matching import CHANNELS, interval_join, reconcile, window_join
+from tidemark.operators.matching import interval_join, reconcile, window_join
 from tidemark.operators.ranking import top_keys
 from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
 from tidemark.plans import market, orders, sensors, traffic
@@ -23,7 +23,8 @@ from tidemark.plans.traffic import HOT_URL_COUNTS, top_sql
 from tidemark.plans.wordcounts import TIMED_WORDS_SQL, WORD_COUNT_SQL
 from tidemark.session import work_dir
 from tidemark.sinks.keyed import read_batches, set_add_writer, write_batch
-from tidemark.sources.tables import stream_table
+from tidemark.sources.replay import played_back, slice_edges
+from tidemark.sources.tables import stream_table, table
 from tidemark.streaming import counts as live
 from tidemark.streaming.ads import click_cap_writer
 from tidemark.streaming.runner import last_batch, run_to_table, start
@@ -148,99 +149,68 @@ def stream_temp_jump(spark: SparkSession, sf: str) -> DataFrame:
     return to_table_time(run_to_table(jumps, "temp-jump").drop("batch"), "ts")
 
 
-def order_streams(spark: SparkSession, sf: str) -> DataFrame:
-    """Creates, and every line of an order as a pay."""
-    creates = stream_table(spark, sf, "orders").select(
+#: Delay of the streams that are played back in the order of event time.
+DELAY = "1 hour"
+
+
+def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
+    """Creates, and every line of an order as a pay: outcomes come once the watermark has passed their session."""
+    creates = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.lit("create").alias("event_type"),
         F.col("o_orderdate").alias("ts"),
     )
-    pays = stream_table(spark, sf, "lineitem").select(
+    pays = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.lit("pay").alias("event_type"),
         F.col("l_shipdate").alias("ts"),
     )
-    return to_stream_time(creates.unionByName(pays), "ts")
-
-
-#: The order tables are written by key, years of event time in any file: a delay that covers them all. Pairs come
-#: out when they meet, so the joins wait for nothing and lose nothing, however the input is cut into batches.
-DISORDER = "3000 days"
-
-#: At the end of the input, what ended this long before its last event counts as closed.
-CLOSES_AFTER = "1 hour"
-
-
-def _closing(*times: DataFrame) -> Column:
-    """`CLOSES_AFTER` before the last time of the table that ends first, in microseconds; each has one column."""
-    heads = [t.agg(F.max(epoch_us(t.columns[0]))).first()[0] for t in times]
-    last = min((h for h in heads if h is not None), default=None)
-    return F.lit(last).cast("long") - F.lit(micros(CLOSES_AFTER))
-
-
-def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
-    """Sessions come once the watermark has passed them; those still open at the end of the input are completed
-    over the events that the batches wrote, up to `CLOSES_AFTER` before the last event.
-    """
-    stream = order_streams(spark, sf)
-    rules = {"limit": "90 days", "late_wait": "400 days", "session": "session"}
-    closed = run_to_table(
-        order_states_stream(bounded(stream, "ts", DISORDER), "order_id", "ts", "event_type", **rules), "order-pay"
-    ).drop("batch")
-    kept = run_to_table(stream, "order-events").drop("batch")
-    states = order_states_stream(kept, "order_id", "ts", "event_type", **rules)
-    known = closed.select(F.col("order_id").alias("_id"), F.col("session").alias("_session")).distinct()
-    ended = F.col("session.until") < _closing(kept.select("ts"))
-    left_open = states.where(ended).join(
-        known, F.col("order_id").eqNullSafe(F.col("_id")) & (F.col("session") == F.col("_session")), "left_anti"
+    edges = slice_edges([creates.select("ts"), pays.select("ts")])
+    log = played_back(creates.unionByName(pays), "ts", edges, "order-log")
+    states = order_states_stream(
+        bounded(to_stream_time(log, "ts"), "ts", DELAY), "order_id", "ts", "event_type", limit="90 days", late_wait="400 days"
     )
-    return closed.unionByName(left_open).drop("session")
+    return run_to_table(states, "order-pay").drop("batch")
 
 
-def pay_receipt_streams(
-    spark: SparkSession, sf: str, delay: str
-) -> tuple[DataFrame, DataFrame]:
-    pays = stream_table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("tx"), F.col("o_orderdate").alias("pay_ts"), "o_custkey"
-    )
-    receipts = stream_table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("tx"), F.col("l_shipdate").alias("receipt_ts"), "l_suppkey"
-    )
+def pay_receipt_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both logs in step, each with its watermark; together they wait for the slower one."""
+    pays, receipts = orders.pays_and_receipts(spark, sf)
+    edges = slice_edges([pays.select("pay_ts"), receipts.select("receipt_ts")])
     return (
-        bounded(to_stream_time(pays, "pay_ts"), "pay_ts", delay),
-        bounded(to_stream_time(receipts, "receipt_ts"), "receipt_ts", delay),
+        bounded(to_stream_time(played_back(pays, "pay_ts", edges, "pays"), "pay_ts"), "pay_ts", DELAY),
+        bounded(to_stream_time(played_back(receipts, "receipt_ts", edges, "receipts"), "receipt_ts"), "receipt_ts", DELAY),
     )
 
 
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
+    pays, receipts = pay_receipt_streams(spark, sf)
     pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
     rows = run_to_table(pairs, "interval-join").drop("batch")
     return to_table_time(rows, "pay_ts", "receipt_ts")
 
 
 def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
+    pays, receipts = pay_receipt_streams(spark, sf)
     pairs = window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
     rows = run_to_table(pairs, "window-join").drop("batch")
     return to_table_time(rows, "pay_ts", "receipt_ts", "window_start", "window_end")
 
 
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs come when they meet. One-sided rows are told at the end of the input, over the rows that the batches
-    wrote, where their wait ended `CLOSES_AFTER` before the last row of the slower side.
-    """
-    pays, receipts = pay_receipt_streams(spark, sf, DISORDER)
-    pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-3 days", "5 days")
-    matched = run_to_table(pairs, "reconcile").drop("batch").withColumn("channel", F.lit(CHANNELS[0]))
-    pays = run_to_table(pays, "reconcile-pays").drop("batch")
-    receipts = run_to_table(receipts, "reconcile-receipts").drop("batch")
-    closing = _closing(pays.select("pay_ts"), receipts.select("receipt_ts"))
-    waited = F.coalesce(epoch_us("pay_ts") + micros("5 days"), epoch_us("receipt_ts") + micros("3 days"))
-    one_sided = reconcile(
-        pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days"
-    ).where((F.col("channel") != CHANNELS[0]) & (waited < closing))
-    return to_table_time(matched.unionByName(one_sided), "pay_ts", "receipt_ts")
+    """Pairs come when they meet, one-sided rows when the watermark has passed their wait."""
+    pays, receipts = pay_receipt_streams(spark, sf)
+    rows = reconcile(pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days")
+    return to_table_time(run_to_table(rows, "reconcile").drop("batch"), "pay_ts", "receipt_ts")
+
+
+def stream_tx_reconcile_first(spark: SparkSession, sf: str) -> DataFrame:
+    """One log of both sides: first in, first out for each transaction."""
+    pays, receipts = orders.pays_and_receipts(spark, sf)
+    log = orders.tx_log(pays, receipts)
+    stream = bounded(to_stream_time(played_back(log, "ts", slice_edges([log.select("ts")]), "tx-log"), "ts"), "ts", DELAY)
+    rows = orders.first_matches(stream)
+    return to_table_time(run_to_table(rows, "reconcile-first").drop("batch"), "pay_ts", "receipt_ts")
 
 
 def stream_click_cap(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,6 +296,7 @@ QUERIES = {
     "stream_interval_join": stream_interval_join,
     "stream_window_join": stream_window_join,
     "stream_tx_reconcile": stream_tx_reconcile,
+    "stream_tx_reconcile_first": stream_tx_reconcile_first,
     "stream_click_cap": stream_click_cap,
     "stream_ads_count": stream_ads_count,
     "stream_area_top3": stream_area_top3,
@@ -411,6 +382,11 @@ SQL = {
     WHERE channel = 'matched'
        OR pay_ts + INTERVAL '5 days' < (SELECT mark_at FROM mark)
        OR receipt_ts + INTERVAL '3 days' < (SELECT mark_at FROM mark)""",
+    "stream_tx_reconcile_first": f"""
+    SELECT * FROM ({orders.SQL["tx_reconcile_first"]}) r
+    WHERE (SELECT max(until) FROM ({orders.TX_SESSIONS}) s
+           WHERE s.tx = r.tx AND coalesce(pay_ts, receipt_ts) BETWEEN s.since AND s.until)
+          < (SELECT greatest((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL '1 hour')""",
     "stream_click_cap": market.SQL["ad_click_cap"],
     "stream_ads_count": market.SQL["ads_count_map"],
     "stream_area_top3": market.SQL["area_top3_ads"],

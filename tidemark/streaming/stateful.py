@@ -35,15 +35,14 @@ def order_states_stream(
     event_type: str,
     limit: str = "15 minutes",
     late_wait: str = "0 seconds",
-    session: str | None = None,
 ) -> DataFrame:
     """Order/pay state machine on a stream with a watermark on `ts`: order_id, channel, result_msg.
 
     A create waits for `limit` plus `late_wait`. A pay in the second part of that time is "payed but
     already timeout"; a pay after it finds no open create. What belongs together is one session: a
     create keeps it open for its wait, a pay does not, so a session holds the few events of one
-    create, and its outcomes come when the watermark has passed its end. A table gives all sessions at once;
-    `session` names a column for the session's `start` and `until` in microseconds, both ends included.
+    create, and its outcomes come when the watermark has passed its end, which also drops its state. A table gives
+    all sessions at once.
     """
     limit_us, wait_us = micros(limit), micros(limit) + micros(late_wait)
     kind = F.col(event_type)
@@ -55,12 +54,7 @@ def order_states_stream(
     sessions = (
         orders.where(kind.isin("create", "pay"))
         .groupBy(F.session_window(ts, stay).alias("_session"), order_id)
-        .agg(
-            F.array_sort(F.collect_list(event)).alias("_events"),
-            # no key of the grouping: Spark would move a filter on the window below the merging of sessions
-            F.min(epoch_us(ts)).alias("_start"),
-            F.max(epoch_us(ts) + F.when(is_create, wait_us).otherwise(0)).alias("_until"),
-        )
+        .agg(F.array_sort(F.collect_list(event)).alias("_events"))
     )
     events = F.col("_events")
 
@@ -79,11 +73,7 @@ def order_states_stream(
 
     message = F.explode(F.array_compact(F.transform(events, outcome)))
     channel = F.when(F.col("result_msg") == PAID, "main").otherwise("side")
-    span = [F.struct(F.col("_start").alias("start"), F.col("_until").alias("until")).alias(session)] if session else []
-    return (
-        sessions.select(order_id, message.alias("result_msg"), *span)
-        .select(order_id, channel.alias("channel"), "result_msg", *([session] if session else []))
-    )
+    return sessions.select(order_id, message.alias("result_msg")).select(order_id, channel.alias("channel"), "result_msg")
 
 
 class _Jumps(StatefulProcessor):
