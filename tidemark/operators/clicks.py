@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import micros
+from tidemark.functions.eventtime import interval_text, micros
 from tidemark.functions.text import json_pairs
 from tidemark.operators.ranking import ranked_lists, top_keys
-from tidemark.operators.windowed import sliding_counts
+from tidemark.operators.windowed import pane_width, sliding_counts
 
 
 def click_counts(ads: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
@@ -116,32 +116,24 @@ def marketing_by_channel(
 def marketing_rollup(
     events: DataFrame, ts: str, size: str, slide: str, kept: Column
 ) -> DataFrame:
-    """Counts per (channel, behavior), per channel and in total, in one pass over the events."""
-    counts = marketing_by_channel(events, ts, size, slide, kept)
-    return (
-        counts.groupingSets(
-            [
-                [F.col("window_start"), F.col("channel"), F.col("behavior")],
-                [F.col("window_start"), F.col("channel")],
-                [F.col("window_start")],
-            ],
-            "window_start",
-            "channel",
-            "behavior",
-        )
-        .agg(
-            F.sum("n").alias("n"),
-            F.grouping("channel").alias("_all_channels"),
-            F.grouping("behavior").alias("_all_behaviors"),
-        )
-        .select(
-            "window_start",
-            F.when(F.col("_all_channels") == 1, "total channel")
-            .otherwise(F.col("channel"))
-            .alias("channel"),
-            F.when(F.col("_all_behaviors") == 1, "total behavior")
-            .otherwise(F.col("behavior"))
-            .alias("behavior"),
-            "n",
-        )
+    """Counts per (channel, behavior), per channel and in total, in one pass over the events.
+
+    Panes are counted once and rolled up, which makes few rows; the windows of all three levels are then swept together.
+    """
+    pane = F.window(ts, interval_text(pane_width(size, slide))).alias("_pane")
+    panes = events.where(kept).groupBy(pane, "channel", "behavior").agg(F.count("*").alias("n"))
+    panes = panes.select(F.col("_pane.start").alias("_at"), "channel", "behavior", "n")
+    at, channel, behavior = F.col("_at"), F.col("channel"), F.col("behavior")
+    levels = panes.groupingSets([[at, channel, behavior], [at, channel], [at]], at, channel, behavior).agg(
+        F.sum("n").alias("n"),
+        F.grouping("channel").alias("_all_channels"),
+        F.grouping("behavior").alias("_all_behaviors"),
+    )
+    keys = ["_all_channels", "_all_behaviors", "channel", "behavior"]
+    counts = sliding_counts(levels, "_at", size, slide, keys, weight="n")
+    return counts.select(
+        "window_start",
+        F.when(F.col("_all_channels") == 1, "total channel").otherwise(channel).alias("channel"),
+        F.when(F.col("_all_behaviors") == 1, "total behavior").otherwise(behavior).alias("behavior"),
+        F.col("total").alias("n"),
     )

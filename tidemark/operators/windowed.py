@@ -161,23 +161,64 @@ def sliding_first_by(
 ) -> DataFrame:
     """The record with the least `order` per key and sliding window (whole record, ties by order).
 
-    A minimum has no inverse, so pane minima are expanded to their windows and reduced again.
+    A minimum has no inverse. In a table, a window is the end of one block of its own length and the beginning of the
+    next, and is the lesser of the two minima that run to the first's end and from the second's begin: see `_least_of_blocks`.
     """
     record = F.struct(*order, *[f for f in fields if f not in order])
-    pane = interval_text(pane_width(size, slide))
+    names = list(dict.fromkeys([*order, *fields]))
+    known = df.where(F.col(order[0]).isNotNull())
+    if df.isStreaming:
+        pane = interval_text(pane_width(size, slide))
+        panes = known.groupBy(F.window(ts, pane).alias("_pane"), *keys).agg(F.min(record).alias("_best"))
+        best = panes.groupBy(F.window("_pane", size, slide).alias("_window"), *keys).agg(F.min("_best").alias("_best"))
+        ends = [F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end")]
+        return best.select(*keys, *ends, *[F.col(f"_best.{f}").alias(f) for f in names])
+    size_us, slide_us, pane_us = micros(size), micros(slide), pane_width(size, slide)
     panes = (
-        df.where(F.col(order[0]).isNotNull())
-        .groupBy(F.window(ts, pane).alias("_pane"), *keys)
+        known.where(F.col(ts).isNotNull())
+        .groupBy(*keys, step_index(epoch_us(ts), pane_us).alias("_pane"))
         .agg(F.min(record).alias("_best"))
     )
-    if df.isStreaming:
-        window = F.window("_pane", size, slide)
-    else:
-        window = F.window("_pane.start", size, slide)
-    best = panes.groupBy(window.alias("_window"), *keys).agg(F.min("_best").alias("_best"))
+    best = _least_of_blocks(panes, keys, size_us // pane_us, slide_us // pane_us)
+    like, start = time_type(df, ts), F.col("_start") * F.lit(pane_us)
     return best.select(
         *keys,
-        F.col("_window.start").alias("window_start"),
-        F.col("_window.end").alias("window_end"),
-        *[F.col(f"_best.{f}").alias(f) for f in dict.fromkeys([*order, *fields])],
+        from_epoch_us(start, like).alias("window_start"),
+        from_epoch_us(start + F.lit(size_us), like).alias("window_end"),
+        *[F.col(f"_best.{f}").alias(f) for f in names],
+    )
+
+
+def _least_of_blocks(panes: DataFrame, keys: Sequence[str], size: int, slide: int) -> DataFrame:
+    """`keys`, _start, _best for every window of `size` panes that begins at a multiple of `slide` and has rows.
+
+    Windows are grouped by the block of `size` panes that they begin in. A pane p goes to its own block, whose windows
+    hold it as long as they begin at p or before, and to the block before, whose windows hold it from p - size + 1 on.
+    So two rows per pane are shuffled, whatever `size` / `slide` is, and a group is one block of one key.
+    """
+    pane, block = F.col("_pane"), step_index(F.col("_pane"), size)
+    leaves = F.struct(block.alias("block"), (pane + 1).alias("at"), F.col("_best").alias("old"), F.lit(None).cast(panes.schema["_best"].dataType).alias("new"))
+    enters = F.struct((block - 1).alias("block"), (pane - size + 1).alias("at"), F.lit(None).cast(panes.schema["_best"].dataType).alias("old"), F.col("_best").alias("new"))
+    edges = panes.select(*keys, F.explode(F.array(leaves, enters)).alias("_e")).select(*keys, "_e.*")
+    group = Window.partitionBy(*keys, "block")
+    # from the end: what has not left yet, with and without the row's own place; from the begin: what has entered
+    down, up = group.orderBy(F.desc("at")), group.orderBy("at")
+    runs = edges.select(
+        *keys,
+        "block",
+        "at",
+        F.min("old").over(down.rangeBetween(Window.unboundedPreceding, -1)).alias("_left"),
+        F.min("old").over(down.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("_whole"),
+        F.min("new").over(up.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("_entered"),
+        F.lag("at").over(up).alias("_before"),
+        F.lead("at").over(up).alias("_until"),
     )
+    begin, end = F.col("block") * F.lit(size), (F.col("block") + 1) * F.lit(size)
+    here = F.struct(F.col("at").alias("since"), F.least(F.coalesce("_until", end), end).alias("until"), F.least("_left", "_entered").alias("best"))
+    first = F.struct(begin.alias("since"), F.col("at").alias("until"), F.col("_whole").alias("best"))
+    spans = runs.select(*keys, F.explode(F.when(F.col("_before").isNull(), F.array(first, here)).otherwise(F.array(here))).alias("_s"))
+    low = F.ceil(F.col("_s.since") / F.lit(slide)).cast("long")
+    high = F.ceil(F.col("_s.until") / F.lit(slide)).cast("long") - 1
+    spans = spans.where(F.col("_s.best").isNotNull()).select(*keys, F.col("_s.best").alias("_best"), low.alias("_low"), high.alias("_high"))
+    starts = spans.where("_low <= _high").withColumn("_start", F.explode(F.sequence("_low", "_high")))
+    return starts.select(*keys, (F.col("_start") * F.lit(slide)).alias("_start"), "_best")

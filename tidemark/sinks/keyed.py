@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.sinks.days import DayTable, _Files
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -74,8 +76,54 @@ def read_upserts(
     return latest_per_key(rows, keys, [*order, "batch"]).drop("batch")
 
 
+def day_upsert_writer(path: str, keys: Sequence[str], order: Sequence[str], day: str = "day", **options) -> BatchWriter:
+    """Keeps the latest row per key and day in a table that `day_upserts` reads; a batch touches its own days only."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        table = day_upserts(df.sparkSession, path, df.schema, keys, order, day, **options)
+        table.add(latest_per_key(df, [day, *keys], order), batch_id)
+
+    return several_passes(write)
+
+
+def day_upserts(
+    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str], day: str = "day", **options
+) -> DayTable:
+    return DayTable(spark, path, schema, lambda df: latest_per_key(df, [day, *keys], order), day, **options)
+
+
+def day_set_writer(path: str, members: Sequence[str], day: str = "day", **options) -> BatchWriter:
+    """Adds members, of which `day` is one, that no earlier batch has added: to the batch's folder below `path`/new, and
+    to the days' sets below `path`/days, of which only the batch's days are read."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        new = df.select(*members).distinct()
+        table = DayTable(df.sparkSession, f"{path}/days", new.schema, lambda x: x.distinct(), day, **options)
+        known = table.read(table.days_of(df), before=batch_id)
+        same = [new[m].eqNullSafe(known[m]) for m in members]
+        fresh = new.join(known, same, "left_anti")
+        write_batch(fresh, f"{path}/new", batch_id)
+        table.add(read_batches(df.sparkSession, f"{path}/new", new.schema).where(F.col("batch") == batch_id), batch_id)
+
+    return several_passes(write)
+
+
+def replacing_writer(path: str) -> BatchWriter:
+    """Each batch is the whole table, as complete mode gives it: it takes the place of the one before, whose folder is
+    removed when the batch after it has been written."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, path, batch_id)
+        files = _Files(df.sparkSession, path)
+        for name in files.names(path):
+            if name.startswith("batch=") and int(name[6:]) < batch_id - 1:
+                files.remove(f"{path}/{name}")
+
+    return write
+
+
 def set_add_writer(path: str, members: Sequence[str]) -> BatchWriter:
-    """Adds members that no earlier batch has added."""
+    """Adds members that no earlier batch has added. All of them are read each time: see `day_set_writer`."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         new = df.select(*members).distinct()
