@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.eventtime import interval_text, micros
+from tidemark.functions.eventtime import epoch_us, from_epoch_us, interval_text, micros, step_index, time_type
 from tidemark.functions.text import json_pairs
 from tidemark.operators.ranking import ranked_lists, top_keys
 from tidemark.operators.windowed import pane_width, sliding_counts
@@ -74,8 +74,48 @@ def last_span_by_minute(
     )
 
 
-def minutes_json(minutes: DataFrame, ad: str) -> DataFrame:
-    return minutes.select(ad, json_pairs(F.col("minutes"), "hm", "n").alias("minutes"))
+def sliding_minutes(
+    ads: DataFrame, ts: str, ad: str, size: str = "1 hour", slide: str = "5 seconds", pane: str = "1 minute", chunk: int = 4096
+) -> DataFrame:
+    """`ad`, report, minutes: for the end of every sliding window with clicks, the clicks per `pane` in order.
+
+    A list changes only where a pane enters or leaves, so clicks are counted per pane first, and lists are made at these
+    places by an ordered frame over the panes of the last `size`; windows between two of them have the list of the first.
+    A group is one ad in `chunk` windows. `slide` divides `size` and, with it, is a multiple of `pane` or a part of it.
+    """
+    size_us, slide_us, pane_us = micros(size), micros(slide), micros(pane)
+    if size_us % slide_us or size_us % pane_us or size_us > micros("1 day"):
+        raise ValueError("slide and pane must divide size, which is a day at most")
+    width = size_us // slide_us
+    chunk = max(chunk, 2 * width)
+    like, start = time_type(ads, ts), F.col("_pane") * F.lit(pane_us)
+    panes = click_counts(ads.where(F.col(ts).isNotNull()).withColumn("_pane", step_index(epoch_us(ts), pane_us)), [ad, "_pane"])
+    # a window holds a pane if it holds its begin
+    panes = panes.select(
+        ad,
+        (step_index(start - F.lit(size_us), slide_us) + 1).alias("_first"),
+        F.struct(F.col("_pane").alias("pane"), F.date_format(from_epoch_us(start, like), "HH:mm").alias("hm"), "n").alias("_entry"),
+    )
+    nothing = F.lit(None).cast(panes.schema["_entry"].dataType)
+    edges = F.array(
+        F.struct(F.col("_first").alias("at"), F.col("_entry").alias("entry")),
+        F.struct((F.col("_first") + width).alias("at"), nothing.alias("entry")),
+    )
+    chunks = F.sequence(step_index(F.col("_first"), chunk), step_index(F.col("_first") + width - 1, chunk))
+    rows = panes.select(ad, F.explode(chunks).alias("_chunk"), "*").select(ad, "_chunk", F.explode(edges).alias("_edge")).select(ad, "_chunk", "_edge.*")
+    in_order = Window.partitionBy(ad, "_chunk").orderBy("at")
+    held = F.array_sort(F.collect_list("entry").over(in_order.rangeBetween(-(width - 1), 0)))
+    runs = rows.select(ad, "_chunk", "at", held.alias("_held"), F.lead("at").over(in_order).alias("_until"))
+    low = F.greatest("at", F.col("_chunk") * F.lit(chunk))
+    high = F.least("_until", (F.col("_chunk") + 1) * F.lit(chunk)) - 1
+    runs = runs.where(F.size("_held") > 0).select(ad, "_held", low.alias("_low"), high.alias("_high")).where("_low <= _high")
+    reports = runs.select(ad, "_held", F.explode(F.sequence("_low", "_high")).alias("_i"))
+    report = from_epoch_us(F.col("_i") * F.lit(slide_us) + F.lit(size_us), like)
+    return reports.select(ad, report.alias("report"), F.transform("_held", lambda x: F.struct(x["hm"].alias("hm"), x["n"].alias("n"))).alias("minutes"))
+
+
+def minutes_json(minutes: DataFrame, *keys: str) -> DataFrame:
+    return minutes.select(*keys, json_pairs(F.col("minutes"), "hm", "n").alias("minutes"))
 
 
 def count_fields(counts: DataFrame, day: str, parts: Sequence[str], n: str = "n") -> DataFrame:

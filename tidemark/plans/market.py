@@ -14,6 +14,7 @@ from tidemark.operators.clicks import (
     last_span_by_minute,
     marketing_totals,
     minutes_json,
+    sliding_minutes,
     top_ads_json,
 )
 from tidemark.operators.clicks import marketing_by_channel as by_channel
@@ -184,6 +185,12 @@ def last_hour_json(spark: SparkSession, sf: str) -> DataFrame:
     return minutes_json(recent_minutes(spark, sf), "ads_id")
 
 
+def last_hour_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """A report every ten minutes, each of the hour before it."""
+    lists = sliding_minutes(clicks(spark, sf), "ts", "ads_id", "1 hour", "10 minutes")
+    return minutes_json(lists, "ads_id", "report")
+
+
 def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
     readings = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     return latest(readings, ["user_id"], ["ts", "event_id"])
@@ -206,6 +213,7 @@ QUERIES = {
     "area_top3_json": area_top3_json,
     "last_hour_by_minute": last_hour_by_minute,
     "last_hour_json": last_hour_json,
+    "last_hour_sliding": last_hour_sliding,
     "latest_per_key": latest_per_key,
 }
 
@@ -283,6 +291,14 @@ SQL = {
     SELECT ads_id,
            '[' || string_agg('{{"' || hm || '":' || n || '}}', ',' ORDER BY hm) || ']' AS minutes
     FROM ({_MINUTES}) GROUP BY ads_id""",
+    "last_hour_sliding": f"""
+    SELECT ads_id, report, '[' || string_agg('{{"' || hm || '":' || n || '}}', ',' ORDER BY minute) || ']' AS minutes FROM (
+      SELECT ads_id, minute, strftime(minute, '%H:%M') AS hm, n,
+             unnest(generate_series(time_bucket(INTERVAL '10 minutes', minute, TIMESTAMP '1970-01-01') + INTERVAL '10 minutes',
+                                    time_bucket(INTERVAL '10 minutes', minute, TIMESTAMP '1970-01-01') + INTERVAL '60 minutes',
+                                    INTERVAL '10 minutes')) AS report
+      FROM (SELECT ads_id, date_trunc('minute', ts) AS minute, count(*) AS n FROM {_CLICKS} GROUP BY ALL))
+    GROUP BY ads_id, report""",
     "latest_per_key": """
     SELECT user_id, ts, event_id, value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r

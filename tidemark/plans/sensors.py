@@ -88,17 +88,20 @@ def temp_rising(spark: SparkSession, sf: str) -> DataFrame:
     return steady_rises(df, "id", "ts", ORDER, "temperature", "24 hours", EVENT_CHUNK)
 
 
-def late_split(spark: SparkSession, sf: str) -> DataFrame:
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """Readings arrive at `ts`; every tenth was taken up to 6 hours before."""
     k = F.get_json_object("props", "$.k").cast("long")
     delay = F.when(F.col("event_id") % 10 == 0, k * 216).otherwise(0)
-    arrivals = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         "event_id",
         F.col("ts").alias("arrived"),
         (F.col("ts") - F.make_dt_interval(secs=delay.cast("decimal(18,6)"))).alias("ts"),
     )
+
+
+def late_split(spark: SparkSession, sf: str) -> DataFrame:
     return mark_late(
-        arrivals,
+        arrivals(spark, sf),
         ts="ts",
         arrival="arrived",
         size="1 hour",

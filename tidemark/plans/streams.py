@@ -5,13 +5,15 @@ A query that appends only closed windows is checked with the same cut in SQL (se
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.eventtime import to_stream_time, to_table_time
+from tidemark.functions.eventtime import epoch_us, to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
-from tidemark.operators.clicks import click_counts, count_fields, last_span_by_minute, minutes_json
+from tidemark.operators.clicks import count_fields, last_span_by_minute, minutes_json
 from tidemark.operators.counting import word_count
 from tidemark.operators.matching import interval_join, reconcile, window_join
 from tidemark.operators.ranking import top_keys
@@ -20,16 +22,27 @@ from tidemark.plans import market, orders, sensors, traffic
 from tidemark.plans.common import item, sliding_sql, url_of
 from tidemark.plans.market import THRESHOLD, places
 from tidemark.plans.traffic import HOT_URL_COUNTS, top_sql
+from tidemark.plans.wordcounts import SQL as WORD_SQL
 from tidemark.plans.wordcounts import TIMED_WORDS_SQL, WORD_COUNT_SQL
 from tidemark.session import work_dir
-from tidemark.sinks.keyed import read_batches, set_add_writer, write_batch
+from tidemark.sinks.keyed import (
+    day_set_writer,
+    day_upsert_writer,
+    day_upserts,
+    latest_per_key,
+    read_batches,
+    replacing_writer,
+    several_passes,
+    write_batch,
+)
 from tidemark.sources.replay import played_back, slice_edges
 from tidemark.sources.tables import stream_table, table
 from tidemark.streaming import counts as live
 from tidemark.streaming.ads import click_cap_writer
+from tidemark.streaming.daily import bitmap_counts, bitmap_table, bitmap_writer, count_writer, daily_counts, top_list_writer
 from tidemark.streaming.runner import last_batch, run_to_table, start
 from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
-from tidemark.streaming.watermarks import ascending, bounded
+from tidemark.streaming.watermarks import ascending, bounded, late_writer
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,21 +241,32 @@ def stream_click_cap(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop("batch")
 
 
+def _places_of(spark: SparkSession, sf: str):
+    """Adds city and area to the few sums of a batch."""
+    return lambda counts: counts.join(places(spark, sf), "user_id")
+
+
+_RAW = ["day", "user_id", "ads_id"]
+
+
 def stream_ads_count(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks per day, area, city and ad as fields of one hash per day, updated batch by batch."""
-    placed = _stream_clicks(spark, sf).join(places(spark, sf), "user_id")
-    counts = click_counts(placed, ["day", "area", "city", "ads_id"])
-    rows = run_to_table(counts, "ads-count", "update")
-    current = last_batch(rows, ["day", "area", "city", "ads_id"])
-    return count_fields(current, "day", ["area", "city", "ads_id"])
+    keys, folder = ["day", "area", "city", "ads_id"], work_dir(spark, "ads-count")
+    writer = count_writer(f"{folder}/counts", keys, _RAW, _places_of(spark, sf))
+    start(_stream_clicks(spark, sf), writer, f"{folder}/checkpoint").awaitTermination()
+    schema = StructType.fromDDL("day string, area string, city string, ads_id bigint, n bigint")
+    return count_fields(daily_counts(spark, f"{folder}/counts", schema, keys).read(), "day", ["area", "city", "ads_id"])
 
 
 def stream_area_top3(spark: SparkSession, sf: str) -> DataFrame:
-    placed = _stream_clicks(spark, sf).join(places(spark, sf), "user_id")
-    counts = click_counts(placed, ["day", "area", "ads_id"])
-    current = last_batch(run_to_table(counts, "area-top3", "update"), ["day", "area", "ads_id"])
-    top = top_keys(current, ["day", "area"], "ads_id", 3)
-    return top.select("day", "area", "rank", "ads_id", "n")
+    """A list per day and area is told when it changes; here the last one of each."""
+    folder = work_dir(spark, "area-top3")
+    writer = top_list_writer(folder, ["day", "area"], "ads_id", 3, _RAW, _places_of(spark, sf))
+    start(_stream_clicks(spark, sf), writer, f"{folder}/checkpoint").awaitTermination()
+    schema = StructType.fromDDL("day string, area string, top array<struct<ads_id: bigint, n: bigint>>")
+    lists = last_batch(read_batches(spark, f"{folder}/lists", schema), ["day", "area"])
+    ranked = lists.select("day", "area", F.posexplode("top").alias("rank", "x"))
+    return ranked.select("day", "area", (F.col("rank") + 1).alias("rank"), "x.ads_id", "x.n")
 
 
 def stream_last_hour(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,22 +282,62 @@ def stream_last_hour(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_blacklist(spark: SparkSession, sf: str) -> DataFrame:
-    """SQL over a streaming view. Users over the threshold join the day's set once, however many
+    """SQL over the running counts of a batch's days. Users over the threshold join the day's set once, however many
     ads brought them there.
     """
-    _stream_clicks(spark, sf).createOrReplaceTempView("tidemark_stream_clicks")
-    over = spark.sql(
-        f"""SELECT day, user_id FROM tidemark_stream_clicks
-            GROUP BY day, user_id, ads_id HAVING count(*) >= {THRESHOLD}"""
-    )
-    rows = run_to_table(
-        over,
-        "blacklist",
-        "update",
-        schema="day string, user_id bigint",
-        writer=lambda path: set_add_writer(path, ["day", "user_id"]),
-    )
-    return rows.select("day", "user_id")
+    folder = work_dir(spark, "blacklist")
+    add = day_set_writer(f"{folder}/set", ["day", "user_id"])
+    count = count_writer(f"{folder}/clicks", _RAW)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        count(df, batch_id)
+        schema = StructType.fromDDL("day string, user_id bigint, ads_id bigint, n bigint")
+        table = daily_counts(df.sparkSession, f"{folder}/clicks", schema, _RAW)
+        counts = table.read(table.days_of(df))
+        over = df.sparkSession.sql("SELECT day, user_id FROM {counts} WHERE n >= {least}", counts=counts, least=THRESHOLD)
+        add(over, batch_id)
+
+    start(_stream_clicks(spark, sf), several_passes(write), f"{folder}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{folder}/set/new", StructType.fromDDL("day string, user_id bigint")).drop("batch")
+
+
+def stream_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest reading per user and day is kept; the latest of all days is asked for."""
+    folder = work_dir(spark, "latest")
+    readings = events(spark, sf).select("user_id", "ts", "event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    writer = day_upsert_writer(f"{folder}/rows", ["user_id"], ["ts", "event_id"])
+    start(readings, writer, f"{folder}/checkpoint").awaitTermination()
+    kept = day_upserts(spark, f"{folder}/rows", readings.schema, ["user_id"], ["ts", "event_id"]).read()
+    return to_table_time(latest_per_key(kept.drop("day"), ["user_id"], ["ts", "event_id"]), "ts")
+
+
+def stream_uv_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_dir(spark, "uv-bitmap")
+    start(view_events(spark, sf), bitmap_writer(f"{folder}/bits", "ts", "user_id"), f"{folder}/checkpoint").awaitTermination()
+    return to_table_time(bitmap_counts(bitmap_table(spark, f"{folder}/bits").read()), "window_end")
+
+
+def stream_window_10m_3m(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete mode: every batch gives the whole result, and the last one stands."""
+    words_ = events(spark, sf).select("ts", F.col("event_type").alias("word"))
+    counts = words_.groupBy(F.window("ts", "10 minutes", "3 minutes").alias("w"), "word").agg(F.count("*").alias("n"))
+    counts = counts.select("word", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
+    rows = run_to_table(counts, "complete", "complete", writer=replacing_writer)
+    newest = rows.agg(F.max("batch")).first()[0]
+    return to_table_time(rows.where(F.col("batch") == F.lit(newest)).drop("batch"), "window_start", "window_end")
+
+
+def stream_late_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The log in four equal spans of arrival time, a span to a batch; see `late_split` for the readings."""
+    arrivals = sensors.arrivals(spark, sf)
+    low, high = (int(x) if x is not None else 0 for x in arrivals.agg(F.min(epoch_us("arrived")), F.max(epoch_us("arrived"))).first())
+    epoch = datetime.datetime(1970, 1, 1)
+    edges = [epoch + datetime.timedelta(microseconds=low + (high - low) * i // 4) for i in (1, 2, 3)]
+    folder = work_dir(spark, "late-split")
+    writer = late_writer(folder, "ts", "1 hour", "10 minutes", "1 minute", "10 minutes")
+    start(played_back(arrivals, "arrived", edges, "arrivals"), writer, f"{folder}/checkpoint").awaitTermination()
+    parts = [read_batches(spark, f"{folder}/{name}", arrivals.schema).select("event_id", F.lit(name == "late").alias("late")) for name in ("main", "late")]
+    return parts[0].unionByName(parts[1])
 
 
 def _stream_clicks(spark: SparkSession, sf: str) -> DataFrame:
@@ -302,6 +366,10 @@ QUERIES = {
     "stream_area_top3": stream_area_top3,
     "stream_last_hour": stream_last_hour,
     "stream_blacklist": stream_blacklist,
+    "stream_latest_per_key": stream_latest_per_key,
+    "stream_uv_bitmap": stream_uv_bitmap,
+    "stream_window_10m_3m": stream_window_10m_3m,
+    "stream_late_split": stream_late_split,
 }
 
 _LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
@@ -391,4 +459,26 @@ SQL = {
     "stream_ads_count": market.SQL["ads_count_map"],
     "stream_area_top3": market.SQL["area_top3_ads"],
     "stream_blacklist": f"SELECT DISTINCT * FROM ({market.SQL['blacklist_build']})",
+    "stream_latest_per_key": market.SQL["latest_per_key"],
+    "stream_uv_bitmap": traffic.SQL["uv_bitmap"],
+    "stream_window_10m_3m": WORD_SQL["window_10m_3m"],
+    "stream_late_split": """
+    WITH arrivals AS (
+      SELECT event_id, epoch_us(ts) AS us,
+             ts - CASE WHEN event_id % 10 = 0
+                       THEN CAST(json_extract_string(props, '$.k') AS BIGINT) * 216 ELSE 0 END
+                  * INTERVAL '1 second' AS ts
+      FROM events),
+    ends AS (SELECT min(us) AS low, max(us) - min(us) AS span FROM arrivals),
+    placed AS (
+      SELECT event_id, ts, CASE WHEN us >= low + span * 3 // 4 THEN 3 WHEN us >= low + span * 2 // 4 THEN 2
+                                WHEN us >= low + span // 4 THEN 1 ELSE 0 END AS batch
+      FROM arrivals, ends),
+    marks AS (
+      SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM placed GROUP BY batch)
+    SELECT event_id,
+           coalesce(time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' + INTERVAL '10 minutes'
+                    <= before - INTERVAL '1 minute', false) AS late
+    FROM placed JOIN marks USING (batch)""",
 }

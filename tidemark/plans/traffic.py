@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import is_page_url
 from tidemark.operators.counting import average
 from tidemark.operators.ranking import top_keys, top_report
-from tidemark.operators.visitors import approx_visitors, bitmap_visitors, unique_visitors
+from tidemark.operators.visitors import (
+    approx_visitors,
+    bitmap_visitors,
+    sliding_approx_visitors,
+    unique_visitors,
+)
 from tidemark.operators.windowed import sliding_counts, tumbling
 from tidemark.plans.common import K_SQL, URL_SQL, behaviors, item, sliding_sql, url_of, views
 from tidemark.sources.tables import table
@@ -63,6 +68,19 @@ def uv_approx(spark: SparkSession, sf: str) -> DataFrame:
     return exact.join(sketch, "window_end").select("window_end", "n", within.alias("within_bound"))
 
 
+def uv_sliding_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """A sketch per ten minutes, united for each hour that slides by ten minutes; held against the exact counts."""
+    seen = views(behaviors(spark, sf)).where("user_id IS NOT NULL")
+    sketch = sliding_approx_visitors(seen, "ts", "user_id", "1 hour", "10 minutes").withColumnRenamed("n", "estimate")
+    # each user once per ten minutes, then once per hour
+    panes = seen.select(F.window("ts", "10 minutes")["start"].alias("ts"), "user_id").distinct()
+    exact = panes.groupBy(F.window("ts", "1 hour", "10 minutes").alias("w"), "user_id").agg(F.count("*").alias("times"))
+    exact = exact.groupBy(F.col("w.end").alias("window_end")).agg(F.count("*").alias("n"))
+    error = F.abs(F.col("estimate") - F.col("n"))
+    within = error <= F.greatest(F.lit(1.0), F.lit(4 * RSD) * F.col("n"))
+    return exact.join(sketch, "window_end").select("window_end", "n", within.alias("within_bound"))
+
+
 def avg_value(spark: SparkSession, sf: str) -> DataFrame:
     return average(behaviors(spark, sf), ["behavior"], "item_id").select(
         "behavior", F.round("average", 9).alias("average"), "n"
@@ -80,6 +98,7 @@ QUERIES = {
     "unique_visitor": unique_visitor,
     "uv_bitmap": uv_bitmap,
     "uv_approx": uv_approx,
+    "uv_sliding_approx": uv_sliding_approx,
     "avg_value": avg_value,
 }
 
@@ -115,6 +134,12 @@ SQL = {
     SELECT {_HOUR} AS window_end, count(DISTINCT user_id) AS n FROM {_VIEWS} GROUP BY 1""",
     "uv_approx": f"""
     SELECT {_HOUR} AS window_end, count(DISTINCT user_id) AS n, true AS within_bound FROM {_VIEWS} GROUP BY 1""",
+    "uv_sliding_approx": f"""
+    SELECT window_end, count(DISTINCT user_id) AS n, true AS within_bound FROM (
+      SELECT user_id, unnest(generate_series(time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '10 minutes',
+                                             time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '60 minutes',
+                                             INTERVAL '10 minutes')) AS window_end
+      FROM {_VIEWS}) GROUP BY 1""",
     "uv_bitmap": f"""
     SELECT window_end, count(DISTINCT bit) AS n FROM (
       SELECT {_HOUR} AS window_end,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import epoch_us, interval_text, micros, step_index
 from tidemark.operators.sequences import running
-from tidemark.sinks.keyed import BatchWriter, read_batches, several_passes, write_batch
+from tidemark.sinks.keyed import BatchWriter, several_passes, write_batch
 
 
 def ascending(df: DataFrame, ts: str) -> DataFrame:
@@ -69,16 +69,20 @@ def late_writer(
 ) -> BatchWriter:
     """The split on a stream: each micro-batch is judged by the greatest event time of those before.
 
-    Rows go to `main` and `late`; one row per batch, its greatest event time, goes to `heads`.
+    Rows go to `main` and `late`. `heads` gets one row per batch: the greatest event time up to and with it, so that a
+    batch reads the row of the batch before it, however long the stream has run.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         head = df.agg(F.max(epoch_us(ts)).alias("head"))
-        earlier = read_batches(df.sparkSession, f"{path}/heads", head.schema)
-        seen = earlier.where(F.col("batch") < batch_id).agg(F.max("head")).first()[0]
-        late = _is_late(ts, F.lit(seen).cast("long"), size, slide, delay, lateness)
+        seen = None
+        if batch_id > 0:
+            before = df.sparkSession.read.schema(head.schema).parquet(f"{path}/heads/batch={batch_id - 1}")
+            seen = before.first()[0]
+        seen = F.lit(seen).cast("long")
+        late = _is_late(ts, seen, size, slide, delay, lateness)
         write_batch(df.where(~late), f"{path}/main", batch_id)
         write_batch(df.where(late), f"{path}/late", batch_id)
-        write_batch(head, f"{path}/heads", batch_id)
+        write_batch(head.select(F.greatest("head", seen).alias("head")), f"{path}/heads", batch_id)
 
     return several_passes(write)
