@@ -3,8 +3,12 @@
 The vocabulary becomes a table of edges of a path-compressed trie: (node, label, child), a node being the prefix that it
 stands for. States (word, position, node, edits) start at the root and are joined with the edges level by level. Without
 an edit a word walks its own path, and at each node the edges to other letters begin its one edit: a letter replaced,
-inserted or deleted. After it the rest must match. An edit is always made where the two words first differ, so each pair
-is met once from either side. States that end with their word at another word are the neighbours.
+inserted or deleted. After it the rest must match. An edit is always made where the two words first differ. States that
+end with their word at another word are the neighbours.
+
+Near the root a node has an edge for almost every letter, so that edits there would start a state each. Every word is
+therefore in the trie twice, as it is and backwards, under different first letters: the first half of an edit's places is
+taken by the backward word, the second half by the forward one, and both are deep in the trie, where few edges leave.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ SHORTEST = 5
 LEAST = 3
 #: A form occurs so many times as often as the word at least.
 OFTENER = 2
+#: First letters of words that are read forwards and backwards.
+FORWARD, BACKWARD = ">", "<"
 #: Copies of the edges of nodes with up to `SHALLOW` letters, over which the states there, of whole parts of the vocabulary, are spread.
 SPREAD = 32
-SHALLOW = 2
+SHALLOW = 3
 
 
 def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = SHORTEST, least: int = LEAST) -> DataFrame:
@@ -108,8 +114,8 @@ def trie(words: DataFrame) -> DataFrame:
 
 
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states that one edge further on are alive, with `near`: whether the child is a neighbour of the word, and
-    `alive`: whether the state can go on."""
+    """The states that one edge further on can still come to something, with `near`: whether the child is a neighbour of
+    the word, and `alive`: whether the state can go on. A word is edited at positions from `free` on."""
     salt = F.when(F.length("node") <= SHALLOW, F.pmod(F.xxhash64("word"), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
     states = states.withColumn("salt", salt).withColumn("here", F.substr("word", F.col("at") + 1, F.lit(1)))
     size, left = F.length("label"), F.length("word") - F.col("at")
@@ -137,32 +143,49 @@ def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
         F.when(~exact & (left > 0) & (rest(1, size) == F.col("label")), reached(to + 1, 1)),
     )
     edges = edges.hint("shuffle_hash")  # a task's edges are few beside its states
-    clean = states.where("edits = 0").join(edges, ["node", "salt"]).select("word", "child", F.explode(moves).alias("move"))
-    edited = states.where("edits = 1").withColumnRenamed("here", "first").join(edges, ["node", "salt", "first"])
-    edited = edited.where(rest(0, size) == F.col("label")).select("word", "child", reached(to, 1).alias("move"))
-    found = clean.unionByName(edited).where("move IS NOT NULL")
-    return found.select("word", "move.at", F.col("child").alias("node"), "move.edits", "move.near", "move.alive")
+    open_ = (F.col("edits") == 0) & (F.col("at") >= F.col("free"))
+    branching = states.where(open_).join(edges, ["node", "salt"]).select("word", "free", "child", F.explode(moves).alias("move"))
+    straight = states.where(~open_).withColumnRenamed("here", "first").join(edges, ["node", "salt", "first"])
+    onward = F.when(F.col("edits") == 0, reached(to, 0)).otherwise(reached(to, 1))
+    straight = straight.where(rest(0, size) == F.col("label")).select("word", "free", "child", onward.alias("move"))
+    found = branching.unionByName(straight).where("move IS NOT NULL")
+    return found.select("word", "free", "move.at", F.col("child").alias("node"), "move.edits", "move.near", "move.alive")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """(word, near): all ordered pairs of the distinct, non-empty `word`s that one inserted, deleted or replaced letter tells apart.
 
     A round of joins for each level of the trie, whose depth is the most nodes on a path: places where words part, and
-    words that begin other words. Each round's states are written.
+    words that begin other words. Each round's states are written. A pair is found forwards if the words have the first
+    half of `word` in common, and backwards if not.
     """
-    edges = trie(words)
-    states = words.select("word", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(0).alias("edits"))
+    half = F.floor(F.length("word") / 2).cast("int")
+    both = words.select(
+        F.explode(
+            F.array(
+                F.struct(F.concat(F.lit(FORWARD), "word").alias("word"), (half + 1).alias("free")),
+                F.struct(F.concat(F.lit(BACKWARD), F.reverse("word")).alias("word"), (F.length("word") - half + 1).alias("free")),
+            )
+        ).alias("x")
+    ).select("x.*")
+    both = written(both, "trie-both")
+    edges = trie(both)
+    states = both.select("word", "free", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(0).alias("edits"))
     found = []
     while True:
         level = written(_step(states, edges), "frontier")
         found.append(level.where("near").select("word", F.col("node").alias("near")))
-        states = level.where("alive").select("word", "at", "node", "edits")
+        states = level.where("alive").select("word", "free", "at", "node", "edits")
         if states.isEmpty():
             break
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    forward = F.col("word").startswith(FORWARD)
+    plain = [F.substr(c, F.lit(2)) for c in ("word", "near")]
+    out = out.select(forward.alias("forward"), *(F.when(forward, x).otherwise(F.reverse(x)).alias(c) for c, x in zip(("word", "near"), plain)))
+    first = [F.substr(c, F.lit(1), half) for c in ("word", "near")]
+    return out.where(F.col("forward") | (first[0] != first[1])).select("word", "near")
 
 
 def roots(forms: DataFrame) -> DataFrame:
