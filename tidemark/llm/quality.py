@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import documents, labels, text_of, written
-from tidemark.llm.wordhash import Texts, pools, repeats, summed
+from tidemark.llm.wordhash import Texts, pools, summed
 
 #: Labelled rows to train on, at most; the rest of the labels is not read into the model.
 TRAIN_ROWS = 20_000
@@ -69,8 +69,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     beside = (t.word[1:] == t.word[:-1]) & (t.doc[1:] == t.doc[:-1])
     out["next_same"] = np.bincount(t.doc[1:], beside, n) / words
     for k in (2, 3, 5):
-        first, hashes = t.grams(k)
-        _, before = repeats(hashes, t.doc[first])
+        first, _, before = t.repeated(k)
         out[f"dup_{k}"] = np.bincount(t.doc[first], before, n) / words
     doc, start, end, before = t.lines()
     n_lines = np.bincount(doc, minlength=n)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import documents, text_of
-from tidemark.llm.wordhash import Texts, pools, repeats, summed
+from tidemark.llm.wordhash import Texts, pools, summed
 
 #: Largest shares of word characters inside repeated n-grams, by n.
 GRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -39,8 +39,7 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
         "n_symbols": t.count_bytes(_SYMBOLS).astype(np.int64),
     }
     for n in GRAM_LIMITS:
-        first, hashes = t.grams(n)
-        again, _ = repeats(hashes, t.doc[first])
+        first, again, _ = t.repeated(n)
         inside = t.covered(first[again], n)
         out[f"dup_chars_{n}"] = summed(t.chars * inside, t.doc, t.n)
         if n == 5:

@@ -1,7 +1,8 @@
-"""Words of many texts at once, in numpy: where they are, and rolling hashes of words and word n-grams.
+"""Words of many texts at once, in numpy: where they are, what they are, and rolling hashes of word n-grams.
 
-Texts are laid end to end as UTF-8 bytes. A hash of a stretch is the difference of two prefix sums of value times a power of an odd
-base, times the power's inverse, all modulo 2 ** 64: every n-gram's hash comes from the same prefix sums.
+Texts are laid end to end as UTF-8 bytes. Words and lines are told apart by their bytes. The hash of an n-gram is the
+difference of two prefix sums of value times a power of an odd base, times the power's inverse, all modulo 2 ** 64: every
+n-gram's hash comes from the same prefix sums. N-grams of equal hash are compared word by word before they count as equal.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import pyarrow as pa
 
 #: Bytes of text handled together; a longer text is handled by itself.
 POOL = 1_000_000
-_BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -56,18 +56,31 @@ def repeats(hashes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return any_, before
 
 
+class _Numbers(dict):
+    """Numbers things in the order in which they are met."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def numbered(things: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_Numbers().__getitem__, things), np.int64, len(things))
+
+
 def summed(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
     return np.bincount(group, weights=values, minlength=groups).astype(np.int64)
 
 
 class Texts:
-    """`n` texts: for each word its text, start, end, code points and hash, and for each line its text, start and end."""
+    """`n` texts: for each word its text, start, end, code points and number (equal words have one), and for each line its text, start and end."""
 
     def __init__(self, texts: list[bytes]):
         self.n = len(texts)
         sizes = np.array([len(t) for t in texts], np.int64)
         # one line feed after each text ends its last word and line
-        self.raw = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+        self.data = b"".join(t + b"\n" for t in texts)
+        self.raw = np.frombuffer(self.data, np.uint8)
         self.begin = np.cumsum(sizes + 1) - (sizes + 1)
         self.end = self.begin + sizes
         self.points = np.concatenate([[0], np.cumsum((self.raw & 0xC0) != 0x80)])
@@ -76,9 +89,8 @@ class Texts:
         self.start, self.stop = edge[::2], edge[1::2]
         self.doc = np.searchsorted(self.end, self.start, side="left") if len(edge) else np.empty(0, np.int64)
         self.chars = self.points[self.stop] - self.points[self.start]
-        self.by_byte = _Prefix(self.raw, _BYTE_BASE)
-        self.word = self.by_byte.of(self.start, self.stop)
-        self.by_word = _Prefix(self.word, _WORD_BASE)
+        self.word = numbered(self.data.split())  # splits at the same bytes
+        self.by_word = _Prefix(_mixed(self.word.astype(np.uint64) + np.uint64(_WORD_BASE)), _WORD_BASE)
         self.n_words = np.bincount(self.doc, minlength=self.n)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +100,18 @@ class Texts:
         first = np.flatnonzero(self.doc[: len(self.doc) - n + 1] == self.doc[n - 1 :])
         return first, self.by_word.of(first, first + n)
 
+    def repeated(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words of all windows of n words; whether the text has the window's words elsewhere, and whether before."""
+        first, hashes = self.grams(n)
+        doc = self.doc[first]
+        order = np.argsort(hashes, kind="stable")
+        met = (hashes[order][1:] == hashes[order][:-1]) & (doc[order][1:] == doc[order][:-1])
+        a, b = first[order[:-1][met]], first[order[1:][met]]
+        if any((self.word[a + i] != self.word[b + i]).any() for i in range(n)):  # one hash of different windows: by the words
+            words = np.stack([self.word[first + i] for i in range(n)])
+            hashes = np.unique(words, axis=1, return_inverse=True)[1].reshape(-1)
+        return first, *repeats(hashes, doc)
+
     def covered(self, first: np.ndarray, n: int) -> np.ndarray:
         """Whether each word lies in one of the windows of n words that begin at `first`."""
         change = np.zeros(len(self.word) + 1, np.int64)
@@ -105,7 +129,7 @@ class Texts:
         filled[inside] = self.start[word_at[inside]] < feed[inside]
         start, feed = start[filled], feed[filled]
         doc = np.searchsorted(self.end, start, side="left")
-        _, before = repeats(self.by_byte.of(start, feed), doc)
+        _, before = repeats(numbered([self.data[a:b] for a, b in zip(start.tolist(), feed.tolist())]), doc)
         return doc, start, feed, before
 
     def count_bytes(self, which: np.ndarray) -> np.ndarray:
