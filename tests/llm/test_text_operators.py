@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,7 +110,7 @@ def test_fingerprint_lanes_against_a_plain_version(make):
     equal = [sum(signed(seed, p) >> s & 0xFFFFFFFF for p in parts) % 2**32 for seed in range(4) for s in (0, 32)]
     assert mark.equal == equal
     sentences = ["First one.", "Second!", "Third?", "lone", "last"]
-    like = [sum(1 if signed(seed, s) >> bit & 1 else -1 for s in sentences) % 65536 for seed in (100, 101) for k in range(32) for bit in (k, k + 32)]
+    like = [sum(1 if signed(seed, s) >> bit & 1 else -1 for s in sentences) for seed in (100, 101) for k in range(32) for bit in (k, k + 32)]
     assert mark.like == like
 
 
@@ -148,3 +149,50 @@ def test_likeness_follows_shared_sentences(make, spark):
     df = spark.createDataFrame([(a, b, c)], f"a {kind}, b {kind}, c {kind}")
     x, y = df.select(multiset.likeness(F.col("a"), F.col("b")), multiset.likeness(F.col("a"), F.col("c"))).first()
     assert abs(x - 0.75) < 0.2 and y < 0.3
+
+
+def thue_morse(n):
+    return [bin(i).count("1") & 1 for i in range(n)]
+
+
+def test_sequences_that_defeat_polynomial_hashes_stay_different(make):
+    """A Thue-Morse sequence and its complement have one hash under every odd base modulo a power of two."""
+    bits = thue_morse(2048)
+    lines = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    words = [" ".join("ab"[b] for b in bits), " ".join("ba"[b] for b in bits)]
+    texts = ["\n".join(lines), "\n".join(words), "\n".join(lines + lines[:1]), "\n".join(words[1:])]
+    for r, text in zip(sorted(repetition.repetition(make(list(enumerate(texts)))).collect(), key=lambda r: r.row.doc_id), texts):
+        want = plain_repetition(text)
+        assert tuple(getattr(r, c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want[:5]
+
+
+def test_equal_hashes_are_compared_word_by_word(monkeypatch):
+    from tidemark.llm import wordhash
+
+    monkeypatch.setattr(wordhash._Prefix, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
+    texts = ["a b c a b d a b c", "x y z", "a b c x a b c", ""]
+    t = wordhash.Texts([x.encode() for x in texts])
+    first, again, before = t.repeated(3)
+    got = [(int(t.doc[i]), int(i - np.flatnonzero(t.doc == t.doc[i])[0]), bool(x), bool(y)) for i, x, y in zip(first, again, before)]
+    want = []
+    for d, text in enumerate(texts):
+        w = text.split()
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        want += [(d, i, grams.count(g) > 1, g in grams[:i]) for i, g in enumerate(grams)]
+    assert got == want
+
+
+def test_repetition_of_an_empty_table(make):
+    assert repetition.repetition(make([])).collect() == []
+
+
+def test_likeness_of_very_repetitive_and_of_unmarked_texts(make):
+    """Lanes do not wrap at 2^15 equal sentences; a long paragraph without sentence marks is compared in parts."""
+    many, fewer = "a\n" * 40_001, "a\n" * 30_000
+    out = {r.doc_id: r for r in multiset.fingerprint_edits(make([(2, many), (1, fewer)])).collect()}
+    assert out[2].near_next == pytest.approx(2 * 40_001 * 30_000 / (40_001**2 + 30_000**2), abs=1e-9)
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(4000))
+    other = " ".join("".join(rng.choices("ijklmnop", k=6)) for _ in range(4000))
+    out = {r.doc_id: r for r in multiset.fingerprint_edits(make([(2, text), (1, other)])).collect()}
+    assert 0.25 < out[2].near_edited < 0.75 and out[2].near_next < 0.3

@@ -5,8 +5,8 @@ lane by lane modulo a power of two. The sum does not depend on the order, a para
 by adding or subtracting its vector, and the fingerprint of joined texts is the sum of the fingerprints.
 
 A vector has two parts. EQUAL_LANES lanes modulo 2 ** 32 come from hashes of the whole paragraph and tell
-multisets apart. LIKE_LANES lanes modulo 2 ** 16 hold, for each sentence of the paragraph, +1 or -1 by one bit
-of the sentence's hash. The inner product of two such parts, over the number of lanes, estimates the inner product
+multisets apart. LIKE_LANES lanes modulo 2 ** 32 hold, for each sentence of the paragraph, +1 or -1 by one bit
+of the sentence's hash; a sentence of over SENTENCE_WORDS words is cut after each so many words. The inner product of two such parts, over the number of lanes, estimates the inner product
 of the two sentence multisets, which gives the likeness; its standard error is about (2 / LIKE_LANES) ** 0.5.
 Built-in functions only.
 """
@@ -20,7 +20,8 @@ from tidemark.llm.tables import documents, text_of, written
 
 EQUAL_LANES = 8
 LIKE_LANES = 128
-_TWO_16, _TWO_32 = 1 << 16, 1 << 32
+SENTENCE_WORDS = 16
+_TWO_32 = 1 << 32
 #: One bit in each half of a 64-bit word: two lanes are counted by one addition, without a carry between them.
 _PAIR = (1 << 32) | 1
 
@@ -31,9 +32,14 @@ def paragraphs(text: Column) -> Column:
 
 
 def _sentences(parts: Column) -> Column:
-    return F.flatten(F.transform(parts, lambda p: F.split(p, r"(?<=[.!?])\s+")))
+    some = F.lit(rf"\S+(?:\s+\S+){{0,{SENTENCE_WORDS - 1}}}")
+    sentences = F.flatten(F.transform(parts, lambda p: F.split(p, r"(?<=[.!?])\s+")))
+    return F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(s, some, F.lit(0))))
 
 
+def _wrapped(x: Column) -> Column:
+    """Modulo 2 ** 32, from -2 ** 31 on."""
+    return (F.pmod(x + F.lit(_TWO_32 // 2), F.lit(_TWO_32)) - F.lit(_TWO_32 // 2)).cast("int")
 
 
 def _let(value: Column, body) -> Column:
@@ -60,7 +66,7 @@ def _equal(parts: Column) -> Column:
 
 
 def _like(parts: Column) -> Column:
-    """For each lane, (sentences with the lane's bit) - (those without), modulo 2 ** 16."""
+    """For each lane, (sentences with the lane's bit) - (those without), modulo 2 ** 32."""
     seeds = range(100, 100 + LIKE_LANES // 64)
     return _let(_sentences(parts), lambda found: F.flatten(F.array(*(_signs(found, seed) for seed in seeds))))
 
@@ -80,36 +86,33 @@ def _signs(found: Column, seed: int) -> Column:
     n = F.size(found).cast("long")
     words = _let(F.transform(found, lambda s: F.xxhash64(F.lit(seed), s)), counts)
     both = F.transform(words, lambda w: F.array(w.bitwiseAND(F.lit(_TWO_32 - 1)), F.shiftrightunsigned(w, 32)))
-    return F.transform(F.flatten(both), lambda c: F.pmod(c * 2 - n, F.lit(_TWO_16)).cast("int"))
+    return F.transform(F.flatten(both), lambda c: _wrapped(c * 2 - n))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """Fingerprint of both texts' paragraphs together, or with sign -1 of a's without b's."""
 
-    def add(modulus: int, kind: str):
-        return lambda x, y: F.pmod(x + y * F.lit(sign), F.lit(modulus)).cast(kind)
+    def added(x: Column, y: Column) -> Column:
+        return x.cast("long") + y.cast("long") * F.lit(sign)
 
     return F.struct(
-        F.zip_with(a["equal"], b["equal"], add(_TWO_32, "long")).alias("equal"),
-        F.zip_with(a["like"], b["like"], add(_TWO_16, "int")).alias("like"),
+        F.zip_with(a["equal"], b["equal"], lambda x, y: F.pmod(added(x, y), F.lit(_TWO_32))).alias("equal"),
+        F.zip_with(a["like"], b["like"], lambda x, y: _wrapped(added(x, y))).alias("like"),
     )
 
 
 def shown(fingerprint: Column) -> Column:
-    """Lower-case hexadecimal digits, 8 for each lane of the first part and 4 for each of the second."""
+    """Lower-case hexadecimal digits, 8 for each lane."""
     equal = F.transform(fingerprint["equal"], lambda x: F.lpad(F.hex(x), 8, "0"))
-    like = F.transform(fingerprint["like"], lambda x: F.lpad(F.hex(x), 4, "0"))
+    like = F.transform(fingerprint["like"], lambda x: F.lpad(F.hex(F.pmod(x.cast("long"), F.lit(_TWO_32))), 8, "0"))
     return F.lower(F.array_join(F.concat(equal, like), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """2ab / (aa + bb) of the sentence parts, from 0 to 1; exactly 1 for equal fingerprints, also of empty texts."""
 
-    def signed(x: Column) -> Column:
-        return F.when(x >= _TWO_16 // 2, x - _TWO_16).otherwise(x).cast("double")
-
     def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(x, y, lambda p, q: signed(p) * signed(q))
+        products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
         return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
 
     x, y = a["like"], b["like"]
