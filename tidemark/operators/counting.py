@@ -18,19 +18,20 @@ def word_count(lines: DataFrame, text: str) -> DataFrame:
     )
 
 
-def timed_words(lines: DataFrame, line: str = "value") -> DataFrame:
-    """(word, ts) rows from `yyyy-MM-dd HH:mm:ss,w1 w2` lines; lines without a time are dropped."""
+def timed_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """(ts, text, _corrupt) of `yyyy-MM-dd HH:mm:ss,w1 w2` lines; a line without a time is kept whole in `_corrupt`."""
     parts = F.split(F.col(line), ",", 2)
-    return (
-        lines.select(
-            F.try_to_timestamp(F.get(parts, 0), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
-            F.get(parts, 1).alias("_text"),
-        )
-        .where("ts is not null")
-        .select(words(F.col("_text")).alias("word"), "ts")
+    ts = F.try_to_timestamp(F.get(parts, 0), F.lit("yyyy-MM-dd HH:mm:ss"))
+    return lines.select(
+        ts.alias("ts"), F.when(ts.isNotNull(), F.get(parts, 1)).alias("text"), F.when(ts.isNull(), F.col(line)).alias("_corrupt")
     )
 
 
+def timed_words(lines: DataFrame, line: str = "value") -> DataFrame:
+    """(word, ts) rows of the lines that have a time; `timed_lines` also gives the others."""
+    return timed_lines(lines, line).where("ts is not null").select(words(F.col("text")).alias("word"), "ts")
+
+
 def running_count(
     df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], chunk: str = "1 day"
 ) -> DataFrame:

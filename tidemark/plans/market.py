@@ -10,6 +10,7 @@ from tidemark.operators.clicks import (
     build_blacklist,
     click_counts,
     count_fields,
+    count_maps,
     drop_blacklisted,
     last_span_by_minute,
     marketing_totals,
@@ -46,6 +47,12 @@ def marketing_total(spark: SparkSession, sf: str) -> DataFrame:
     return marketing_totals(marketing(spark, sf), "ts", "1 hour", "10 seconds", kept())
 
 
+def marketing_total_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The start of each window as text."""
+    totals = marketing_total(spark, sf)
+    return totals.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 def marketing_by_channel(spark: SparkSession, sf: str) -> DataFrame:
     return by_channel(marketing(spark, sf), "ts", "1 hour", "10 seconds", kept())
 
@@ -131,6 +138,13 @@ def ads_count_map(spark: SparkSession, sf: str) -> DataFrame:
     return count_fields(ads_click_count(spark, sf), "day", ["area", "city", "ads_id"])
 
 
+def ads_count_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields gathered to maps; what each day's maps hold together."""
+    maps = count_maps(ads_count_map(spark, sf))
+    sizes = maps.select("hash_key", F.size("fields").cast("long").alias("n"), F.explode(F.map_values("fields")).alias("value"))
+    return sizes.groupBy("hash_key").agg(F.count("*").alias("fields"), F.sum(F.col("value").cast("long")).alias("clicks"))
+
+
 THRESHOLD = 2
 
 
@@ -198,6 +212,7 @@ def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "marketing_total": marketing_total,
+    "marketing_total_text": marketing_total_text,
     "marketing_by_channel": marketing_by_channel,
     "marketing_rollup": marketing_rollup,
     "ads_enrich": ads_enrich,
@@ -206,6 +221,7 @@ QUERIES = {
     "ad_blacklist": ad_blacklist,
     "ads_click_count": ads_click_count,
     "ads_count_map": ads_count_map,
+    "ads_count_hash": ads_count_hash,
     "blacklist_build": blacklist_build,
     "blacklist_sql_view": blacklist_sql_view,
     "blacklist_filter": blacklist_filter,
@@ -247,6 +263,9 @@ SQL = {
     "marketing_total": f"""
     SELECT window_start, 'total channel' AS channel, 'total behavior' AS behavior, n
     FROM ({sliding_sql(_MARKETING, "", "1 hour", "10 seconds")})""",
+    "marketing_total_text": f"""
+    SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, 'total channel' AS channel, 'total behavior' AS behavior, n
+    FROM ({sliding_sql(_MARKETING, "", "1 hour", "10 seconds")})""",
     "marketing_by_channel": f"SELECT window_start, channel, behavior, n FROM ({_BY_CHANNEL})",
     "marketing_rollup": f"""
     SELECT window_start, coalesce(channel, 'total channel') AS channel,
@@ -273,6 +292,9 @@ SQL = {
     SELECT 'date:area:city:ads:' || day AS hash_key, area || ':' || city || ':' || ads_id AS field,
            CAST(n AS VARCHAR) AS value
     FROM ({_COUNTS})""",
+    "ads_count_hash": f"""
+    SELECT 'date:area:city:ads:' || day AS hash_key, count(*) AS fields, CAST(sum(n) AS BIGINT) AS clicks
+    FROM ({_COUNTS}) GROUP BY day""",
     "blacklist_build": _BLACKLIST,
     "blacklist_sql_view": _BLACKLIST,
     "blacklist_filter": f"""

@@ -14,15 +14,14 @@ from pyspark.sql.types import StructType
 from tidemark.functions.eventtime import epoch_us, to_stream_time, to_table_time
 from tidemark.functions.text import is_page_url, words
 from tidemark.operators.clicks import count_fields, last_span_by_minute, minutes_json
-from tidemark.operators.counting import word_count
+from tidemark.operators.counting import timed_words, word_count
 from tidemark.operators.matching import interval_join, reconcile, window_join
 from tidemark.operators.ranking import top_keys
 from tidemark.operators.windowed import sliding_counts, sliding_first_by, tumbling
-from tidemark.plans import market, orders, sensors, traffic
+from tidemark.plans import market, orders, sensors, traffic, wordcounts
 from tidemark.plans.common import item, sliding_sql, url_of
 from tidemark.plans.market import THRESHOLD, places
 from tidemark.plans.traffic import HOT_URL_COUNTS, top_sql
-from tidemark.plans.wordcounts import SQL as WORD_SQL
 from tidemark.plans.wordcounts import TIMED_WORDS_SQL, WORD_COUNT_SQL
 from tidemark.session import work_dir
 from tidemark.sinks.keyed import (
@@ -35,6 +34,7 @@ from tidemark.sinks.keyed import (
     several_passes,
     write_batch,
 )
+from tidemark.sources.lines import stream_lines
 from tidemark.sources.replay import played_back, slice_edges
 from tidemark.sources.tables import stream_table, table
 from tidemark.streaming import counts as live
@@ -61,8 +61,11 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_batch_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of each micro-batch on its own; the table arrives as one batch here."""
-    tokens = stream_table(spark, sf, "documents").select(words(F.col("text")).alias("word"))
+    """Counts of each micro-batch on its own: the documents in four equal ranges of ids, a range to a batch."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    stream = played_back(docs, "doc_id", [(last + 1) * i // 4 for i in (1, 2, 3)], "document-log")
+    tokens = stream.select(words(F.col("text")).alias("word"))
 
     def writer(path):
         def write(df: DataFrame, batch_id: int) -> None:
@@ -74,6 +77,13 @@ def stream_batch_word_count(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("batch", "word", "n")
 
 
+def stream_text_file_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of a folder of text files, as they come."""
+    lines = stream_lines(spark, wordcounts.line_files(spark, sf), files_per_batch=2)
+    counts = timed_words(lines).groupBy("word").agg(F.count("*").alias("n"))
+    return last_batch(run_to_table(counts, "text-words", "update"), ["word"])
+
+
 def stream_windowed_word_count(spark: SparkSession, sf: str) -> DataFrame:
     second = F.date_trunc("second", "ts")
     timed = events(spark, sf).select(
@@ -349,6 +359,7 @@ def _stream_clicks(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_batch_word_count": stream_batch_word_count,
+    "stream_text_file_words": stream_text_file_words,
     "stream_windowed_word_count": stream_windowed_word_count,
     "stream_page_view": stream_page_view,
     "stream_hot_items": stream_hot_items,
@@ -378,7 +389,17 @@ _VIEW_MARK = f"window_end <= {_LAST_VIEW}"
 
 SQL = {
     "stream_word_count": WORD_COUNT_SQL,
-    "stream_batch_word_count": f"SELECT CAST(0 AS BIGINT) AS batch, * FROM ({WORD_COUNT_SQL})",
+    "stream_batch_word_count": """
+    WITH last AS (SELECT max(doc_id) + 1 AS n FROM documents)
+    SELECT batch, word, count(*) AS n FROM (
+      SELECT CASE WHEN doc_id >= n * 3 // 4 THEN CAST(3 AS BIGINT) WHEN doc_id >= n * 2 // 4 THEN 2
+                  WHEN doc_id >= n // 4 THEN 1 ELSE 0 END AS batch,
+             unnest(string_split(text, ' ')) AS word
+      FROM documents, last)
+    WHERE word <> '' GROUP BY batch, word""",
+    "stream_text_file_words": """
+    SELECT word, count(*) AS n FROM (
+      SELECT unnest([event_type, 'user' || (user_id % 3)]) AS word FROM events WHERE event_id % 50 <> 0) GROUP BY word""",
     "stream_windowed_word_count": f"""
     SELECT * FROM ({sliding_sql(TIMED_WORDS_SQL, "word", "10 minutes", "2 minutes")})
     WHERE window_end <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL '2 minutes'""",
@@ -461,7 +482,7 @@ SQL = {
     "stream_blacklist": f"SELECT DISTINCT * FROM ({market.SQL['blacklist_build']})",
     "stream_latest_per_key": market.SQL["latest_per_key"],
     "stream_uv_bitmap": traffic.SQL["uv_bitmap"],
-    "stream_window_10m_3m": WORD_SQL["window_10m_3m"],
+    "stream_window_10m_3m": wordcounts.SQL["window_10m_3m"],
     "stream_late_split": """
     WITH arrivals AS (
       SELECT event_id, epoch_us(ts) AS us,

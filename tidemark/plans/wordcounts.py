@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.counting import running_count as counted
-from tidemark.operators.counting import timed_words
+from tidemark.operators.counting import timed_lines, timed_words
 from tidemark.operators.counting import word_count as count_words
 from tidemark.operators.windowed import sliding_counts
 from tidemark.plans.common import EVENT_CHUNK, sliding_sql
+from tidemark.session import work_dir
+from tidemark.sources.lines import read_lines
 from tidemark.sources.tables import table
 
 
@@ -23,9 +25,10 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "event_type", "n")
 
 
-def timed(spark: SparkSession, sf: str) -> DataFrame:
-    """(word, ts) parsed from `time,word word` lines with the event type and its user."""
-    lines = table(spark, sf, "events").select(
+def event_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """event_id and a line `time,word word` with the event type and its user."""
+    return table(spark, sf, "events").select(
+        "event_id",
         F.concat_ws(
             "",
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
@@ -33,9 +36,30 @@ def timed(spark: SparkSession, sf: str) -> DataFrame:
             "event_type",
             F.lit(" user"),
             (F.col("user_id") % 3).cast("string"),
-        ).alias("value")
+        ).alias("value"),
     )
-    return timed_words(lines)
+
+
+def timed(spark: SparkSession, sf: str) -> DataFrame:
+    """(word, ts) parsed from the lines."""
+    return timed_words(event_lines(spark, sf))
+
+
+def line_files(spark: SparkSession, sf: str) -> str:
+    """A folder of text files with the lines, in a few of which the time is damaged."""
+    folder = work_dir(spark, "lines")
+    damaged = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("at "), "value")).otherwise(F.col("value"))
+    event_lines(spark, sf).select(damaged.alias("value")).write.text(folder)
+    return folder
+
+
+def text_file_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of text files by the hour of their line, and the lines without a time, which belong to no hour."""
+    parsed = timed_lines(read_lines(spark, line_files(spark, sf)))
+    hour = F.date_format("ts", "yyyy-MM-dd HH")
+    words_ = parsed.where("ts is not null").select(hour.alias("hour"), F.explode(F.split("text", " ")).alias("word"))
+    bad = parsed.where("_corrupt is not null").select(F.lit(None).cast("string").alias("hour"), F.col("_corrupt").alias("word"))
+    return words_.unionByName(bad).groupBy("hour", "word").agg(F.count("*").alias("n"))
 
 
 def counts(words: DataFrame, size: str, slide: str) -> DataFrame:
@@ -67,6 +91,7 @@ def reduce_by_window(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "word_count": word_count,
+    "text_file_words": text_file_words,
     "running_count": running_count,
     "windowed_word_count": windowed_word_count,
     "window_10m_3m": window_10m_3m,
@@ -89,6 +114,13 @@ SQL = {
                           ROWS UNBOUNDED PRECEDING) AS n
     FROM events""",
     "windowed_word_count": sliding_sql(TIMED_WORDS_SQL, "word", "10 minutes", "2 minutes"),
+    "text_file_words": """
+    SELECT hour, word, count(*) AS n FROM (
+      SELECT CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%Y-%m-%d %H') END AS hour,
+             unnest(CASE WHEN event_id % 50 = 0
+                         THEN ['at ' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' || event_type || ' user' || (user_id % 3)]
+                         ELSE [event_type, 'user' || (user_id % 3)] END) AS word
+      FROM events) GROUP BY hour, word""",
     "window_10m_3m": sliding_sql(_WORDS, "word", "10 minutes", "3 minutes"),
     "reduce_by_window": f"""
     SELECT word, window_end, n AS total

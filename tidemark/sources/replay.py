@@ -20,7 +20,7 @@ from tidemark.session import work_dir
 #: Micro-batches of a playback. A slice is one file, so take as many as keep a slice within one task's means.
 SLICES = 4
 
-Edge = datetime.datetime
+Edge = datetime.datetime | int
 
 
 def slice_edges(times: Sequence[DataFrame], slices: int = SLICES) -> list[Edge]:
@@ -35,15 +35,19 @@ def slice_edges(times: Sequence[DataFrame], slices: int = SLICES) -> list[Edge]:
 def played_back(df: DataFrame, ts: str, edges: Sequence[Edge], label: str = "playback") -> DataFrame:
     """`df` as a stream, the rows before the first of `edges` (and those without a time) in its first micro-batch.
 
+    `ts` may also be a number that grows with time, such as that of a log's lines, and `edges` numbers.
+
     Streams with equal `edges` keep step with each other: a slice without rows is a micro-batch without rows.
     """
     spark, folder = df.sparkSession, work_dir(df.sparkSession, label)
-    time = F.col(ts).cast("timestamp_ntz")
+    is_time = all(isinstance(x, datetime.datetime) for x in edges)
+    kind = "timestamp_ntz" if is_time else "bigint"
+    time = F.col(ts).cast(kind)
     # files are streamed by their age, so the slices are written one after the other
     for low, high in zip([None, *edges], [*edges, None]):
-        inside = F.lit(True) if low is None else time >= F.lit(low).cast("timestamp_ntz")
+        inside = F.lit(True) if low is None else time >= F.lit(low).cast(kind)
         if high is not None:
-            inside = inside & (time < F.lit(high).cast("timestamp_ntz"))
+            inside = inside & (time < F.lit(high).cast(kind))
         if low is None:
             inside = F.coalesce(inside, F.lit(True))
         df.where(inside).coalesce(1).write.mode("append").parquet(folder)
