@@ -12,7 +12,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from plain import labels, plain_fingerprint, plain_repetition, plain_spans
+from plain import labels, make, plain_fingerprint, plain_repetition, plain_spans  # noqa: F401
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import queries
@@ -34,7 +35,7 @@ def texts():
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(SQL) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -103,6 +104,46 @@ def test_quality_on_held_out_labels(spark):
     assert len(right) > 50 and np.mean(right) > 0.95
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql(spark, name):
+    """Queries with SQL against DuckDB, cell by cell."""
+    db = duckdb.connect()
+    for table in ("documents", "pages"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    expected = db.sql(SQL[name])
+    df = queries()[name](spark, SF)
+    assert sorted(df.columns) == sorted(expected.columns)
+    same = lambda v: None if v is None else round(v, 9) if isinstance(v, float) else v
+    want = sorted((tuple(map(same, r)) for r in expected.select(*[duckdb.ColumnExpression(c) for c in df.columns]).fetchall()), key=repr)
+    assert sorted((tuple(map(same, r)) for r in df.collect()), key=repr) == want and want
+
+
+def test_token_files(spark, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out, start = {r.doc_id: r for r in queries()["op13_token_files"](spark, SF).collect()}, 0
+    assert set(out) == set(texts)
+    for i in sorted(texts):
+        ids = [*tokenizer.encode(texts[i], add_special_tokens=False).ids, 2]
+        assert (out[i].start, out[i].n_tokens, out[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_tables(spark, make, tmp_path, empty):  # noqa: F811
+    """Nulls, empty and very long texts, repeated rows, columns of clashing names, and a table without rows."""
+    good = "The committee met on Tuesday to discuss the budget, and most members agreed with the proposal. " * 4
+    rows = [(1, good), (1, good), (2, good + "Then they left."), (None, good.upper()), (3, None), (4, ""), (5, "short"), (6, good * 500), (None, None)]
+    docs = make([] if empty else [(i, t, s) for (i, t), s in zip(rows, ["a", "a", None, "b", "a", "b", "b", "b", None])], clash=True)
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < 4:
+            assert docs.columns == columns, name
+    assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "text"]
+    assert all(r.n_tokens == len(r.ids) for r in docs.collect()) and (not empty or docs.count() == 0)
+
+
 def test_pipeline_stage_by_stage(spark, texts, tmp_path):
     """Each stage's rows against a plain version over what the stage before it kept."""
     docs, seen = spark.read.parquet(f"{SF}/documents.parquet"), {}
@@ -117,8 +158,9 @@ def test_pipeline_stage_by_stage(spark, texts, tmp_path):
     classified, lines, single, mixed, coded = seen.values()
     accepted = {r.doc_id for r in queries()["op10_quality"](spark, SF).where("predicted = 1").collect()}
     assert set(classified) == accepted
-    pages = collections.Counter(r.source for r in classified.values())
-    holds = collections.Counter((r.source, x) for r in classified.values() for x in {y.strip(" \t\r") for y in r.text.split("\n")} if x)
+    distinct = {(r.source, r.text) for r in classified.values()}
+    pages = collections.Counter(source for source, _ in distinct)
+    holds = collections.Counter((source, x) for source, text in distinct for x in {y.strip(" \t\r") for y in text.split("\n")} if x)
     bad = {key for key, n in holds.items() if n >= 3 and n > 0.05 * pages[key[0]]}
     for i, r in classified.items():
         assert lines[i].text == "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" \t\r")) not in bad)

@@ -57,6 +57,15 @@ def test_documents(make):
     assert ids.count(3) == 1 and ids.count(8) == 1 and ids.count(None) == 1 and 7 not in ids and 9 not in ids
 
 
+def test_each_component_keeps_one_row_whatever_its_ids(make):
+    """Two unlinked texts under one id, ids that repeat elsewhere, rows without an id, equal rows."""
+    rng = random.Random(12)
+    a, b, c = (" ".join(rng.choices([f"{x}{i}" for i in range(300)], k=200)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, c), (None, c), (4, c), (5, "lone"), (5, "lone"), (None, None)]
+    kept = [(r.doc_id, r.text) for r in simhash.deduplicated(make(rows, clash=True)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (4, c), (5, "lone"), (None, None)], key=str)
+
+
 def test_empty_table(make):
     assert simhash.near_duplicates(make([])).count() == 0
     assert simhash.deduplicated(make([])).count() == 0

@@ -25,11 +25,36 @@ def test_line_dedup_drops_lines_of_much_of_a_site(make):
 
 
 def test_line_dedup_ratio_is_exclusive_and_counts_a_page_once(make):
-    rows = [(i, "x\nx\nx" if i < 3 else "y", "a") for i in range(6)]
+    rows = [(i, f"x\nx\nx\n{i}" if i < 3 else f"y\n{i}", "a") for i in range(6)]
     out = {r.row.doc_id: r.text for r in linededup.dedup_lines(make(rows), ratio=0.5).collect()}
-    assert out[0] == "x\nx\nx" and out[5] == "y"  # 3 of 6 pages each: not above one half
+    assert out[0] == "x\nx\nx\n0" and out[5] == "y\n5"  # 3 of 6 pages each: not above one half
     out = {r.row.doc_id: r.text for r in linededup.dedup_lines(make(rows), ratio=0.49).collect()}
-    assert out[0] == "" and out[5] == ""
+    assert out[0] == "0" and out[5] == "5"
+
+
+def test_line_dedup_takes_copies_for_one_page(make):
+    """A group of copies that holds a third of a site keeps its lines, and its copies are cleaned alike."""
+    rows = [(i, "copied text\nof many lines\nMenu", "a") for i in range(20)] + [(100 + i, f"own {i}\nMenu", "a") for i in range(40)]
+    rows += [(200, None, "a"), (201, "", "a"), (202, None, "a")]
+    out = {r.row.doc_id: r.text for r in linededup.dedup_lines(make(rows)).collect()}
+    assert {out[i] for i in range(20)} == {"copied text\nof many lines"}
+    assert all(out[100 + i] == f"own {i}" for i in range(40)) and out[200] is None and out[201] == ""
+
+
+def test_line_dedup_of_very_long_texts_and_lines(make):
+    long = "z" * 300_000
+    rows = [(i, "\n".join(f"{i} {k}" for k in range(20_000)) + f"\n{long}\nend", "a") for i in range(4)]
+    out = {r.row.doc_id: r for r in linededup.dedup_lines(make(rows), ratio=0.5).collect()}
+    assert all(out[i].text == "\n".join(f"{i} {k}" for k in range(20_000)) and out[i].n_dropped == 2 for i in range(4))
+
+
+def test_rates_of_zero_weights_and_sizes(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 0), ("c", 5)], "source string, size long")
+    weights = lambda *x: spark.createDataFrame(x, "source string, weight double")
+    rates = lambda w: {r.source: r.rate for r in mixing.rates_for(sizes, w).collect()}
+    assert rates(weights(("a", 0.0), ("b", 0.0))) == {"a": 0.0, "b": 0.0, "c": 0.0}
+    assert rates(weights(("a", 1.0), ("b", 1.0))) == {"a": 0.75, "b": 0.0, "c": 0.0}
+    assert rates(weights()) == {"a": 0.0, "b": 0.0, "c": 0.0}
 
 
 def test_line_dedup_of_an_empty_table(make):

@@ -1,6 +1,7 @@
 """Lines that recur over much of one site are boilerplate: navigation, notices, signatures.
 
-A line's site frequency is the number of the site's pages that hold it over the site's number of pages.
+A line's site frequency is the number of the site's pages that hold it over the site's number of pages, a page being a
+distinct text.
 Lines above a ratio go; everything else of a page stays in place. Built-in functions only.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import written
+from tidemark.llm.tables import text_of, written
 
 RATIO = 0.05
 MIN_PAGES = 3
@@ -30,19 +31,19 @@ def boilerplate(
 ) -> DataFrame:
     """(host, lines): per site the keys of lines on more than `ratio` of its pages and on `min_pages` at least.
 
-    A page counts once per line. A site of P pages has fewer than L / ratio such lines, L being its mean
-    number of lines a page, so that `lines` stays short whatever the number of pages. Counting is combined in
-    each task before the shuffle, which carries one 16-byte key per distinct line of a task; a site's rows
-    are spread over its lines, so no site lands in one task.
+    Equal texts of a site are one page, so copies make no line more frequent, and a page counts once per line. A site of
+    P pages has fewer than L / ratio such lines, L being its mean number of lines a page, so that `lines` stays short
+    whatever the number of pages. Pages are told apart by 128 bits of their texts and shuffled as the 16-byte keys of
+    their lines, copies being combined in each task before; then lines are counted, again combined in each task. Rows are
+    spread over a site's texts and lines, so no site lands in one task.
     """
-    sites = docs.where(F.col(host).isNotNull())
-    pages = written(sites.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("pages")), "sites")
-    lines = F.array_distinct(F.transform(F.split(F.col(text), "\n"), _trimmed))
+    lines = F.array_distinct(F.transform(F.split(text_of(text), "\n"), _trimmed))
+    keys = F.transform(F.filter(lines, lambda x: x != ""), _key)
+    texts = docs.where(F.col(host).isNotNull()).select(F.col(host).alias("host"), _key(text_of(text)).alias("page"), keys.alias("keys"))
+    found = written(texts.groupBy("host", "page").agg(F.first("keys").alias("keys")), "site-pages")
+    pages = written(found.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "sites")
     counts = (
-        sites.select(
-            F.col(host).alias("host"),
-            F.explode(F.transform(F.filter(lines, lambda x: x != ""), _key)).alias("key"),
-        )
+        found.select("host", F.explode("keys").alias("key"))
         .groupBy("host", F.col("key.a").alias("a"), F.col("key.b").alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_pages)
@@ -62,7 +63,7 @@ def dedup_lines(
 
     Lines are compared without blanks at their ends; blank lines are never boilerplate and stay. Rows without
     a host belong to no site and stay as they are; a null text stays null with no lines; a text of which
-    every line goes becomes empty. Repeated rows are pages of their own. Columns of any name may be present.
+    every line goes becomes empty. Repeated rows and texts are one page of their site and are all cleaned. Columns of any name may be present.
     """
     bad = written(boilerplate(docs, host, text, ratio, min_pages), "boilerplate")
     rows = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"))
@@ -94,11 +95,15 @@ WITH lines AS (
          unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
-sites AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
+texts AS (SELECT DISTINCT source, coalesce(text, '') AS text FROM documents WHERE source IS NOT NULL),
+sites AS (SELECT source, count(*) AS pages FROM texts GROUP BY source),
+site_lines AS (
+  SELECT source, text, trim(line, ' ' || chr(9) || chr(13)) AS k
+  FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM texts)),
 bad AS (
-  SELECT source, k FROM keyed JOIN sites USING (source)
+  SELECT source, k FROM site_lines JOIN sites USING (source)
   WHERE k <> '' GROUP BY source, k
-  HAVING count(DISTINCT doc_id) >= {MIN_PAGES} AND count(DISTINCT doc_id) > {RATIO} * any_value(pages)),
+  HAVING count(DISTINCT text) >= {MIN_PAGES} AND count(DISTINCT text) > {RATIO} * any_value(pages)),
 done AS (
   SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE bad.k IS NULL), '') AS text,
          count(*) AS n_lines, count(bad.k) AS n_dropped

@@ -55,7 +55,8 @@ def smoothed_rates(docs: DataFrame, source: str = "source", text: str = "text",
 def rates_for(sizes: DataFrame, weights: DataFrame, total: float | None = None) -> DataFrame:
     """(source, rate) from sizes and target weights by source; `total` is the target size, by default that of all.
 
-    A source without a weight gets rate 0: it is not in the mixture.
+    A source without a weight gets rate 0: it is not in the mixture. So do sources whose size is zero, which no
+    repetition makes larger, and all of them if the weights add up to zero.
     """
     sums = weights.agg(F.sum("weight").alias("all_weights"))
     whole = sizes.agg(F.sum("size").cast("double").alias("whole"))
@@ -63,8 +64,9 @@ def rates_for(sizes: DataFrame, weights: DataFrame, total: float | None = None)
         whole = whole.select(F.lit(float(total)).alias("whole"))
     one_row = sums.join(whole, F.lit(True))
     known = sizes.join(weights.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
-    share = F.coalesce(F.col("weight"), F.lit(0.0)) / F.col("all_weights")
-    return known.join(one_row, F.lit(True)).select("source", (share * F.col("whole") / F.col("size")).alias("rate"))
+    share = F.try_divide(F.col("weight").cast("double"), F.col("all_weights"))
+    rate = F.try_divide(share * F.col("whole"), F.col("size"))
+    return known.join(one_row, F.lit(True)).select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def mix(docs: DataFrame, rates: DataFrame, source: str = "source", doc_id: str = "doc_id", seed: int = SEED) -> DataFrame:

@@ -163,18 +163,22 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of `docs` whose id is the least of their component: one document of each group.
+    """The rows of `docs` that come first in their component: one document of each group.
 
-    An id names one document: of several rows with one id, that with the smallest text stays. Rows without an id
-    cannot be told apart by it and all stay. The columns are those of `docs`.
+    First is the least id, null being the greatest; rows of one id go by 128 bits of the whole row, and of equal rows one
+    stays. The columns are those of `docs`.
     """
-    found = near_duplicates(docs, doc_id, text, shingle, distance)
-    stay = written(found.select(F.col("component_id").alias("stay")).where("stay IS NOT NULL").distinct(), "stay")
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    chosen = rows.join(stay, F.col("id") == F.col("stay"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("text").asc_nulls_last()))
-    one = chosen.withColumn("first", first).where("first = 1").select("row")
-    return one.unionByName(rows.where(F.col("id").isNull()).select("row")).select("row.*")
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.struct(
+        F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
+        F.xxhash64(*whole).alias("a"), F.xxhash64(F.lit(1), *whole).alias("b"),
+    )
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"), F.col(text).alias("text"))
+    found = near_duplicates(rows, "key", "text", shingle, distance)
+    stay = written(found.select(F.col("component_id").alias("key")).distinct(), "stay")
+    chosen = rows.select("row", "key").join(stay, "key", "left_semi")
+    once = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+    return chosen.withColumn("once", once).where("once = 1").select("row.*")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
