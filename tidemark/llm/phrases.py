@@ -8,11 +8,12 @@ merged. Only phrases of the least count leave that step; scores, contained phras
 
 from __future__ import annotations
 
-import uuid
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ UNKNOWN = "und"
 
 #: Ends of pieces become full stops, tabs become spaces.
 _PLAIN = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d\x09", b"......... ")
-_BLOCKS = "block string, lang string, words array<string>, counts array<long>, ids binary"
+_BLOCKS = "block long, lang string, words array<string>, counts array<long>, ids binary"
 
 
 class _Places(dict):
@@ -61,26 +62,37 @@ def _tokens(text: bytes) -> Iterator[list[bytes]]:
     yield [b"."]
 
 
-def _block(lang: str, parts: list[np.ndarray], places: _Places) -> pa.RecordBatch:
+def _block(block: int, lang: str, parts: list[np.ndarray], places: _Places) -> pa.RecordBatch:
+    """The words by falling count, so that most places are small; places as four planes of bytes, which compress well."""
     ids = np.concatenate(parts)
     counts = np.bincount(ids, minlength=len(places))[1:]
-    words = pa.array(list(places)[1:], pa.binary()).cast(pa.string())
+    order = np.argsort(-counts, kind="stable")
+    new = np.zeros(len(places), "<i4")
+    new[order + 1] = np.arange(1, len(places))
+    words = pa.array(list(places)[1:], pa.binary()).cast(pa.string()).take(pa.array(order))
+    ends = pa.array([0, len(words)], pa.int32())
     columns = [
-        pa.array([uuid.uuid4().hex]), pa.array([lang], pa.string()),
-        pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-        pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
-        pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+        pa.array([block]), pa.array([lang], pa.string()), pa.ListArray.from_arrays(ends, words),
+        pa.ListArray.from_arrays(ends, pa.array(counts[order], pa.int64())),
+        pa.array([np.ascontiguousarray(new[ids].view(np.uint8).reshape(-1, 4).T).tobytes()], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "words", "counts", "ids"])
 
 
+def _places_of(ids: pa.Scalar) -> np.ndarray:
+    planes = np.frombuffer(ids.as_buffer(), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+
+
 def blocks(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     """(block, lang, words, counts, ids): texts of one language, some `BLOCK` words together, as places in `words`.
 
-    `counts` has each word's occurrences. `ids` holds 32-bit places from 1, 0 where a piece ends.
+    `counts` has each word's occurrences. `ids` holds 32-bit places from 1, 0 where a piece ends. Blocks are numbered by
+    partition, so the table has to be written before its numbers are used.
     """
 
     def run(batches):
+        numbers = itertools.count(TaskContext.get().partitionId() << 32)
         open_: dict[str, tuple[list, _Places]] = {}
         held = 0
         for batch in batches:
@@ -90,9 +102,9 @@ def blocks(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame
                     parts.append(np.fromiter(map(places.__getitem__, tokens), np.int32, len(tokens)))
                     held += len(tokens)
                 if held >= BLOCK:
-                    yield from (_block(k, *x) for k, x in open_.items() if x[0])
+                    yield from (_block(next(numbers), k, *x) for k, x in open_.items() if x[0])
                     open_, held = {}, 0
-        yield from (_block(k, *x) for k, x in open_.items() if x[0])
+        yield from (_block(next(numbers), k, *x) for k, x in open_.items() if x[0])
 
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), text_of(text).alias("text"))
     return rows.mapInArrow(run, _BLOCKS)
@@ -102,21 +114,21 @@ def vocabulary(found: DataFrame, least: int) -> DataFrame:
     """(lang, word, n, id): words of `least` occurrences at least, with ids from 1 that have few gaps."""
     counts = found.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("lang", F.col("x.words").alias("word"))
     often = written(counts.agg(F.sum("x.counts").alias("n")).where(F.col("n") >= least), "phrase-words")
-    parts = 64
+    parts = 4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64("lang", "word"), F.lit(parts))
     place = F.row_number().over(Window.partitionBy("part").orderBy("lang", "word"))
     return written(often.withColumn("part", part).select("lang", "word", "n", (F.col("part") + (place - 1) * parts + 1).cast("long").alias("id")), "phrase-ids")
 
 
 def ngrams(found: DataFrame, words: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
-    """(lang, w1 .. w4, size, a): n-grams of 2 to `longest` word ids with their count `a`, if it is `least` or more.
+    """(lang, words, size, a): n-grams of 2 to `longest` word ids with their count `a`, if it is `least` or more.
 
     The words of a phrase and of its parts occur as often as it at least, so only words of the vocabulary take part.
     """
-    # occurrences without a word are no rows; sums over no rows are null
+    # sums over no rows are null
     top, total = words.agg(F.max("id"), F.sum("n")).first()
     bits = max(1, int(top or 1).bit_length())
-    shard_bits = min(2 * bits, max(0, (3 * int(total or 0) // SHARD).bit_length()))
+    shard_bits = min(bits, max(0, (int(total or 0) // SHARD).bit_length()))
     places = found.select("block", "lang", F.posexplode("words").alias("place", "word"))
     known = places.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block")
     known = known.agg(F.collect_list(F.struct((F.col("place") + 1).alias("place"), "id")).alias("known"))
@@ -124,7 +136,7 @@ def ngrams(found: DataFrame, words: DataFrame, least: int, longest: int = LONGES
     def count(batches):
         for batch in batches:
             for lang, ids, pairs in zip(batch.column("lang").to_pylist(), batch.column("ids"), batch.column("known")):
-                places = np.frombuffer(ids.as_buffer(), "<i4")
+                places = _places_of(ids)
                 to = np.zeros(int(places.max(initial=0)) + 1, np.int64)
                 pairs = pairs.values
                 to[pairs.field("place").to_numpy(zero_copy_only=False)] = pairs.field("id").to_numpy(zero_copy_only=False)
@@ -132,59 +144,58 @@ def ngrams(found: DataFrame, words: DataFrame, least: int, longest: int = LONGES
                     yield from _filters(lang, to[places[at : at + BLOCK + longest - 1]], bits, shard_bits, longest)
 
     filters = found.select("block", "lang", "ids").join(known, "block").select("lang", "ids", "known")
-    filters = filters.mapInArrow(count, "lang string, shard long, filter binary")
+    filters = filters.mapInArrow(count, "lang string, size int, shard long, filter binary")
 
     def merge(batches):
-        key, parts, held, size = None, [], 0, 0
+        key, parts, held, met = None, [], 0, 0
         for batch in batches:
-            for lang, shard, data in zip(batch.column("lang").to_pylist(), batch.column("shard").to_pylist(), batch.column("filter")):
-                if key != (lang, shard):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "shard")))
+            for now, data in zip(keys, batch.column("filter")):
+                if key != now:
                     if parts:
-                        yield _often(key[0], quotient.merged(parts, bits), bits, least)
-                    key, parts, held, size = (lang, shard), [], 0, 0
-                parts.append(quotient.entries(data.as_buffer().to_pybytes(), shard, bits, shard_bits))
-                size += len(parts[-1][0])
-                if size - held > max(MERGE, held):
-                    parts = [quotient.merged(parts, bits)]
-                    held = size = len(parts[0][0])
+                        yield _often(key, quotient.merged(parts, key[1], bits), bits, least)
+                    key, parts, held, met = now, [], 0, 0
+                parts.append(quotient.entries(data.as_buffer().to_pybytes(), now[2], now[1], bits, shard_bits))
+                met += len(parts[-1][0])
+                if met - held > max(MERGE, held):
+                    parts = [quotient.merged(parts, now[1], bits)]
+                    held = met = len(parts[0][0])
         if parts:
-            yield _often(key[0], quotient.merged(parts, bits), bits, least)
+            yield _often(key, quotient.merged(parts, key[1], bits), bits, least)
 
-    n = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = filters.repartition(n, "lang", "shard").sortWithinPartitions("lang", "shard")
-    names = ", ".join(f"w{i} long" for i in range(1, quotient.WIDTH + 1))
-    return dealt.mapInArrow(merge, f"lang string, {names}, size int, a long")
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = filters.repartition(n, "lang", "size", "shard").sortWithinPartitions("lang", "size", "shard")
+    return dealt.mapInArrow(merge, "lang string, words array<long>, size int, a long")
 
 
 def _filters(lang: str, ids: np.ndarray, bits: int, shard_bits: int, longest: int):
-    """The filters of up to `BLOCK` n-grams' first words, one for each shard that has any."""
-    halves = []
+    """The filters of up to `BLOCK` n-grams' first words, for each size one for each shard that has any."""
     whole = ids > 0
-    for n in range(2, longest + 1):
-        whole = whole[:-1] & (ids[n - 1 :] > 0) if len(ids) >= n else whole[:0]
+    for size in range(2, longest + 1):
+        whole = whole[:-1] & (ids[size - 1 :] > 0) if len(ids) >= size else whole[:0]
         at = np.flatnonzero(whole[:BLOCK])
-        if len(at):
-            halves.append(quotient.permuted([ids[at + i] for i in range(n)], bits))
-    if not halves:
-        return
-    high, low, counts = quotient.summed(*(np.concatenate(x) for x in zip(*halves)), None, bits)
-    shards = quotient.shard_of(high, bits, shard_bits) if shard_bits else np.zeros(len(high), np.int64)
-    edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
-    made = [quotient.filter_of(high[a:b], low[a:b], counts[a:b], bits, shard_bits) for a, b in zip(edges, edges[1:])]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(made), pa.string()), pa.array(shards[edges[:-1]], pa.int64()), pa.array(made, pa.binary())],
-        names=["lang", "shard", "filter"],
-    )
+        if not len(at):
+            return
+        run = quotient.summed(*quotient.permuted([ids[at + i] for i in range(size)], bits), None, size, bits)
+        shards = quotient.shard_of(run[0], size, bits, shard_bits)
+        edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        made = [quotient.filter_of(tuple(x[a:b] for x in run), size, bits, shard_bits) for a, b in zip(edges, edges[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(made), pa.string()), pa.array([size] * len(made), pa.int32()), pa.array(shards[edges[:-1]]), pa.array(made, pa.binary())],
+            names=["lang", "size", "shard", "filter"],
+        )
 
 
-def _often(lang: str, run: tuple[np.ndarray, np.ndarray, np.ndarray], bits: int, least: int) -> pa.RecordBatch:
+def _often(key: tuple[str, int, int], run: quotient.Run, bits: int, least: int) -> pa.RecordBatch:
+    lang, size, _ = key
     high, low, counts = run
     keep = counts >= least
-    ids = quotient.restored(high[keep], low[keep], bits)
-    columns = [pa.array([lang] * int(keep.sum()), pa.string()), *(pa.array(x.astype(np.int64)) for x in ids)]
-    size = np.sum([x > 0 for x in ids], axis=0).astype(np.int32)
-    names = ["lang", *(f"w{i + 1}" for i in range(len(ids))), "size", "a"]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(size, pa.int32()), pa.array(counts[keep])], names=names)
+    n = int(keep.sum())
+    ids = np.stack(quotient.restored(high[keep], low[keep], size, bits), 1).astype(np.int64)
+    words = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * size), pa.array(ids.reshape(-1)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * n, pa.string()), words, pa.array([size] * n, pa.int32()), pa.array(counts[keep])], names=["lang", "words", "size", "a"]
+    )
 
 
 def _key(words: Column, start: Column | int, size: Column | int) -> Column:
@@ -203,15 +214,13 @@ def phrases(
     are left out. Null texts and texts without words add nothing; a null language is the language `und`. Repeated rows
     count each time. Equal ranks go by `a`, then by phrase. Empty tables give no rows; other columns are not read.
     """
-    if not 2 <= longest <= quotient.WIDTH:
-        raise ValueError(f"phrases have 2 to {quotient.WIDTH} words")
+    if not 2 <= longest <= quotient.LONGEST:
+        raise ValueError(f"phrases have 2 to {quotient.LONGEST} words")
     found = written(blocks(docs, lang, text), "phrase-blocks")
     words = vocabulary(found, least)
     sizes = found.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
     sizes = sizes.groupBy("lang").agg(F.sum("n").alias("n"))
-    grams = ngrams(found, words, least, longest)
-    ids = F.array(*(f"w{i}" for i in range(1, quotient.WIDTH + 1)))
-    candidates = written(grams.select("lang", F.slice(ids, F.lit(1), F.col("size")).alias("words"), "size", "a"), "phrase-candidates")
+    candidates = written(ngrams(found, words, least, longest), "phrase-candidates")
     known = candidates.select("words", "a").unionByName(words.select(F.array("id").alias("words"), F.col("n").alias("a")))
     cuts = candidates.select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     first = known.select(F.col("words").alias("first"), F.col("a").alias("l"))
