@@ -29,8 +29,9 @@ POOL = 1_000_000
 WORDS = 250_000
 #: Tokens decoded by one ordered aggregation; longer texts are decoded in consecutive parts.
 PART = 500_000
-#: Pieces that a Python worker remembers; beyond that it forgets the sixth that it has not met for longest.
-REMEMBERED = 300_000
+#: Pieces that a Python worker remembers, in two generations: when the younger one is half of this, the elder is forgotten
+#: and it takes its place. A piece that is met again moves to the younger one.
+REMEMBERED = 500_000
 #: Pieces merged by one recursive query.
 TOGETHER = 15_000
 #: Bytes of a piece beyond which a heap takes the recursive query's place: a query step costs the piece's whole length.
@@ -89,6 +90,7 @@ class Coder:
         self.find = regex.compile(pattern).finditer
         self.find_all = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.elder: dict[str, bytes] = {}
         self.bytes_of = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int32)
         merges = [
             (self.rank[t[:i]], self.rank[t[i:]], made)
@@ -115,19 +117,19 @@ class Coder:
         self.db.unregister("arrived")
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remembers the ids of each piece, as little-endian 32-bit numbers; pieces met last come last."""
+        """Remembers the ids of each piece, as little-endian 32-bit numbers."""
         words = set(words)
-        if len(self.known) > REMEMBERED:
-            for word in list(itertools.islice(self.known, len(self.known) - REMEMBERED * 5 // 6)):
-                del self.known[word]
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.elder = {}, self.known
         new = words.difference(self.known)
-        for word in words - new:
-            self.known[word] = self.known.pop(word)
+        again = new.intersection(self.elder)
+        for word in again:
+            self.known[word] = self.elder[word]
         unmerged: list[tuple[str, bytes]] = []
-        for word in new:
+        for word in new - again:
             data = word.encode()
             if data in self.rank:  # a piece that is a token is that token, before any merge
-                self.known[word] = np.int32(self.rank[data]).tobytes()
+                self.known[word] = self.rank[data].to_bytes(4, "little")
             elif len(data) > LONG_PIECE:
                 self.known[word] = self._merge_long(data).tobytes()
             else:
@@ -150,16 +152,11 @@ class Coder:
             after=pa.array(pos + 1, pa.int64(), mask=last),
             after_tok=pa.array(np.roll(tok, -1), pa.int64(), mask=last),
         )
-        for (word, _), ids in zip(unmerged, self._lists(self.db.sql(_STEPS).to_arrow_table()["ids"])):
-            self.known[word] = ids.astype("<i4").tobytes()
-
-    @staticmethod
-    def _lists(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
-        for chunk in column.chunks:
-            ends = chunk.offsets.to_numpy()
-            values = chunk.values.to_numpy()
-            for a, b in itertools.pairwise(ends):
-                yield values[a:b]
+        ids = self.db.sql(_STEPS).to_arrow_table()["ids"].combine_chunks()
+        raw = ids.values.to_numpy().astype("<i4").tobytes()
+        ends = (ids.offsets.to_numpy().astype(np.int64) * 4).tolist()
+        for (word, _), a, b in zip(unmerged, ends, ends[1:]):
+            self.known[word] = raw[a:b]
 
     def _merge_long(self, data: bytes) -> np.ndarray:
         """The same merges by a heap of (rank, position): leftmost pair of least rank first."""
