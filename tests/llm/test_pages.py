@@ -6,6 +6,7 @@ import random
 
 import plain  # noqa: F401
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import template, warc
 from tidemark.llm.pagetokens import main_text, tokens
@@ -63,6 +64,17 @@ def test_archives_of_a_table(spark, tmp_path):
     assert warc.read_archives(none, f"file://{tmp_path}/e").count() == 0
 
 
+def test_archives_are_read_by_several_tasks(spark, tmp_path):
+    """About one archive to a task, also where adaptive execution would merge partitions."""
+    pages = spark.createDataFrame([(i, f"http://a.org/{i}", f"page {i} " * 50) for i in range(120)], PAGES).repartition(4)
+    archives = warc.write_archives(pages, f"file://{tmp_path}/many", archive_bytes=500)
+    n = archives.count()
+    assert n >= 12
+    read = warc.read_archives(archives, f"file://{tmp_path}/many")
+    parts = read.select(F.spark_partition_id().alias("part")).groupBy("part").count().collect()
+    assert len(parts) >= n // 2 and sum(r["count"] for r in parts) == 120
+
+
 def test_main_text_of_odd_pages():
     none = frozenset()
     assert main_text("", none) == "" and main_text("just text &amp; more", none) == "just text & more"

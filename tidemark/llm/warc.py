@@ -218,6 +218,10 @@ def write_archives(
     return written(joined.select("page_id", "url", "html", "original").mapInArrow(run, "file string, records long, bytes long"), "archives")
 
 
+#: Tasks that read archives, at most; beyond it a task reads several, one after the other.
+MAX_READERS = 20_000
+
+
 def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """A row per record of the archives: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and
     with `payloads` the payload itself (null for revisits).
@@ -245,8 +249,8 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
                     yield _batch(rows, payloads)
 
     names = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    # one archive to a task, whatever the number of files
-    spread = archives.select("file").repartition("file")
+    # about one archive to a task: a stated number of partitions is not merged into fewer, however short the names are
+    spread = archives.select("file").repartitionByRange(max(1, min(archives.count(), MAX_READERS)), "file")
     return spread.mapInArrow(run, names + (", payload binary" if payloads else ""))
 
 
