@@ -159,8 +159,22 @@ def test_jdbc_writer_stages_the_latest_rows_before_the_merge(spark, monkeypatch)
     )
     rows = [("a", at(1), 1.0), ("a", at(2), 2.0)]
     write(spark.createDataFrame(rows, "sensor string, ts timestamp_ntz, temp double"), 0)
-    assert steps[0] == ("jdbc:x", "temperature_staging", "overwrite", [("a", 2.0)])
-    assert steps[1].startswith("MERGE INTO temperature AS t USING temperature_staging AS s")
+    staging = steps[0][1]
+    assert staging.startswith("temperature_staging_") and steps[0] == ("jdbc:x", staging, "overwrite", [("a", 2.0)])
+    assert steps[1].startswith(f"MERGE INTO temperature AS t USING {staging} AS s") and steps[2] == f"DROP TABLE {staging}"
+
+
+def test_jdbc_writers_do_not_meet_and_names_are_quoted(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    tables, run = [], []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode, properties: tables.append(table))
+    df = spark.createDataFrame([("a", 1, 2)], '`key` string, `order` int, `odd"name` int')
+    for _ in range(2):
+        jdbc_upsert_writer("jdbc:x", "t", ["key"], ["order"], ["key", "order", 'odd"name'], run.append, quote='"')(df, 0)
+    assert len(set(tables)) == 2 and all(t.startswith('"t_staging_') for t in tables)
+    assert f'MERGE INTO "t" AS t USING {tables[0]} AS s ON t."key" = s."key"' in run[0]
+    assert '"odd""name" = s."odd""name"' in run[0] and run[1] == f"DROP TABLE {tables[0]}"
 
 
 def test_kafka_messages_and_options(spark):

@@ -153,12 +153,12 @@ def blacklist_build(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def blacklist_sql_view(spark: SparkSession, sf: str) -> DataFrame:
-    """The same list written as SQL over a temporary view."""
-    clicks(spark, sf).createOrReplaceTempView("tidemark_clicks")
+    """The same list written as SQL over a view that lives as long as the statement."""
     return spark.sql(
-        f"""SELECT day, user_id FROM tidemark_clicks
-            GROUP BY day, user_id, ads_id HAVING count(*) >= {THRESHOLD}"""
-    )
+        """SELECT day, user_id FROM {clicks}
+           GROUP BY day, user_id, ads_id HAVING count(*) >= {least}""",
+        clicks=clicks(spark, sf), least=THRESHOLD,
+    )
 
 
 def blacklist_filter(spark: SparkSession, sf: str) -> DataFrame:
