@@ -101,6 +101,15 @@ def test_bursts_equal_a_walk(spark, chunk, seed, dense):
     assert bursts == naive_bursts(events, 2, 2)
 
 
+@pytest.mark.parametrize("kind,one,two", [("int", 1, 2), ("string", "", "=")])
+def test_rows_without_a_user_are_one_key(spark, kind, one, two):
+    rows = [(u, at(t), i, "fail") for i, (u, t) in enumerate([(None, 0), (None, 1), (one, 0), (one, 9), (two, 3), (two, 4), (two, 4.5)])]
+    df = spark.createDataFrame(rows, f"user {kind}, ts timestamp_ntz, id long, status string")
+    got = failure_bursts(df, "user", "ts", ["ts", "id"], fail())
+    assert got.schema["user"].dataType == df.schema["user"].dataType
+    assert rows_of(got.select("user", "failures")) == sorted([(None, 2), (two, 3)], key=repr)
+
+
 def test_burst_bounds(spark):
     df = logins(
         spark,

@@ -36,14 +36,15 @@ def failure_bursts(
 ) -> DataFrame:
     """user, first_fail_time, last_fail_time, failures, warning_msg: bursts of at least `times`.
 
-    `order` is (ts, an integer id). The end of the time span is included.
+    `order` is (ts, an integer id). The end of the time span is included. Rows without a user are one key, as in
+    `failed_pairs`; users are numbers or texts.
     """
     if times < 2:
         raise ValueError("a burst has at least two failures")
     reach = micros(within)
     width = max(micros(chunk), reach)
     near = _clustered(logins, user, ts, order[1], failed, within, chunk)
-    key = logins.schema[user].dataType.simpleString()
+    key = "string"
     solved = near.sortWithinPartitions("_user", "_chunk", "_us", "_id").mapInPandas(
         lambda batches: _solve(batches, reach, width, times),
         f"_user {key}, _chunk bigint, _entry_from bigint, _entry_to bigint, "
@@ -61,7 +62,7 @@ def failure_bursts(
     warnings = solved.where("_first is not null").join(entries, ["_user", "_chunk"])
     like = time_type(logins, ts)
     return warnings.where("_entry between _entry_from and _entry_to").select(
-        F.col("_user").alias(user),
+        F.when(F.col("_user") != "", F.substr("_user", F.lit(2))).cast(logins.schema[user].dataType).alias(user),
         from_epoch_us(F.col("_first"), like).alias("first_fail_time"),
         from_epoch_us(F.col("_last"), like).alias("last_fail_time"),
         "failures",
@@ -79,13 +80,13 @@ def _clustered(logins, user, ts, row_id, failed, within, chunk) -> DataFrame:
     """
     reach, width = micros(within), max(micros(chunk), micros(within))
     rows = logins.select(
-        F.col(user).alias("_user"),
+        # a text for each user, the empty one for rows without a user, who are one key
+        F.coalesce(F.concat(F.lit("="), F.col(user).cast("string")), F.lit("")).alias("_user"),
         ts,
         epoch_us(ts).alias("_us"),
         F.col(row_id).cast("long").alias("_id"),
         F.coalesce(failed, F.lit(False)).alias("_failed"),
     )
-    rows = rows.where("_user is not null")
     near = with_context(rows, ts, within, chunk).drop(ts).repartition("_user", "_chunk")
     by_time = Window.partitionBy("_user", "_chunk").orderBy("_us", "_id")
     later = (
