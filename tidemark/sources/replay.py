@@ -2,8 +2,9 @@
 
 A table that is written by key holds years of event time in any of its files; read as it lies, it would need a
 watermark that waits for years, and no state would ever be dropped. Here it is written once more, slice of event time
-after slice, and streamed a slice to a micro-batch: from batch to batch event time only grows. A log that arrives in
-order needs none of this.
+after slice, and streamed a slice to a micro-batch: from batch to batch event time only grows. Every slice has equally
+many files, which as many tasks write, about one for each that reads the slice. A log that arrives in order needs none
+of this.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.eventtime import epoch_us
 from tidemark.session import work_dir
+from tidemark.sinks.days import _Files
 
-#: Micro-batches of a playback. A slice is one file, so take as many as keep a slice within one task's means.
+#: Micro-batches of a playback.
 SLICES = 4
 
 Edge = datetime.datetime | int
@@ -43,12 +45,16 @@ def played_back(df: DataFrame, ts: str, edges: Sequence[Edge], label: str = "pla
     is_time = all(isinstance(x, datetime.datetime) for x in edges)
     kind = "timestamp_ntz" if is_time else "bigint"
     time = F.col(ts).cast(kind)
+    files = max(1, -(-df.rdd.getNumPartitions() // (len(edges) + 1)))
     # files are streamed by their age, so the slices are written one after the other
-    for low, high in zip([None, *edges], [*edges, None]):
+    for i, (low, high) in enumerate(zip([None, *edges], [*edges, None]), 1):
         inside = F.lit(True) if low is None else time >= F.lit(low).cast(kind)
         if high is not None:
             inside = inside & (time < F.lit(high).cast(kind))
         if low is None:
             inside = F.coalesce(inside, F.lit(True))
-        df.where(inside).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        df.where(inside).repartition(files).write.mode("append").parquet(folder)
+        written = sum(name.startswith("part-") for name in _Files(spark, folder).names(folder))
+        for _ in range(written, i * files):  # tasks without rows write no file: empty ones take their places
+            df.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
