@@ -152,21 +152,32 @@ def reconcile_first(
     itself, so a busy key is spread over its sessions, and a stream with a watermark on `ts` drops the state of
     each once it has ended.
     """
+    return match_sessions(waiting_sessions(log, key, ts, side, row, pay_waits, receipt_waits), key)
+
+
+def waiting_sessions(log: DataFrame, key: str, ts: str, side: str, row: str, pay_waits: str, receipt_waits: str) -> DataFrame:
+    """The sessions of `reconcile_first`: `_session` (start and end), `key`, `_events` in event-time order."""
     waits = F.when(F.col(side) == "pay", micros(pay_waits)).otherwise(micros(receipt_waits))
     stay = F.when(F.col(side) == "pay", interval_text(micros(pay_waits) + 1)).otherwise(interval_text(micros(receipt_waits) + 1))
     event = F.struct(
         epoch_us(ts).alias("us"), F.when(F.col(side) == "pay", 0).otherwise(1).alias("kind"), F.col(row).alias("row"), (epoch_us(ts) + waits).alias("until")
     )
-    sessions = log.groupBy(F.session_window(ts, stay).alias("_session"), key).agg(F.array_sort(F.collect_list(event)).alias("_events"))
+    return log.groupBy(F.session_window(ts, stay).alias("_session"), key).agg(F.array_sort(F.collect_list(event)).alias("_events"))
+
+
+def match_sessions(sessions: DataFrame, key: str) -> DataFrame:
+    """The result of `reconcile_first` for sessions that have ended. Where all rows are of one side, none meets another."""
     kinds = sessions.schema["_events"].dataType.simpleString()
     pair = kinds.replace("array<", "", 1)[:-1]
     pairs = f"array<struct<a:{pair},b:{pair}>>"
 
+    def alone(rows):
+        return F.transform(rows, lambda x: F.struct(x.alias("a"), F.lit(None).cast(pair).alias("b")))
+
     def step(state, now):
         # all rows in the queue are of one side: one of the other would have taken its oldest
         alive = F.filter(state["queue"], lambda x: x["until"] >= now["us"])
-        gone = F.filter(state["queue"], lambda x: x["until"] < now["us"])
-        given_up = F.transform(gone, lambda x: F.struct(x.alias("a"), F.lit(None).cast(pair).alias("b")))
+        given_up = alone(F.filter(state["queue"], lambda x: x["until"] < now["us"]))
         met = (F.size(alive) > 0) & (F.get(alive, F.lit(0))["kind"] != now["kind"])
         both = F.array(F.struct(F.get(alive, F.lit(0)).alias("a"), now.alias("b")))
         queue = F.when(met, F.slice(alive, 2, F.greatest(F.size(alive) - 1, F.lit(0)))).otherwise(F.array_append(alive, now))
@@ -174,12 +185,10 @@ def reconcile_first(
         return F.struct(queue.alias("queue"), done.cast(pairs).alias("done"))
 
     start = F.struct(F.array().cast(kinds).alias("queue"), F.array().cast(pairs).alias("done"))
-
-    def finish(state):
-        left = F.transform(state["queue"], lambda x: F.struct(x.alias("a"), F.lit(None).cast(pair).alias("b")))
-        return F.concat(state["done"], left)
-
-    found = sessions.select(key, F.explode(F.aggregate("_events", start, step, finish)).alias("_x"))
+    events = F.col("_events")
+    one_sided = ~F.exists(events, lambda x: x["kind"] != F.get(events, F.lit(0))["kind"])
+    queued = F.aggregate(events, start, step, lambda state: F.concat(state["done"], alone(state["queue"])))
+    found = sessions.select(key, F.explode(F.when(one_sided, alone(events).cast(pairs)).otherwise(queued)).alias("_x"))
     first_is_pay = F.col("_x.a.kind") == 0
     return found.select(
         key,

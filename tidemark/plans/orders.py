@@ -10,7 +10,9 @@ from tidemark.operators.matching import reconcile, reconcile_first
 from tidemark.operators.matching import window_join as same_window
 from tidemark.operators.patterns import order_states, order_timeouts, unpaid_orders
 from tidemark.plans.common import ORDER_CHUNK
+from tidemark.sinks.keyed import BatchWriter
 from tidemark.sources.tables import table
+from tidemark.streaming import carried
 
 
 def order_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,8 +94,19 @@ def tx_log(pays: DataFrame, receipts: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+FIRST_WAITS = {"pay_waits": "5 days", "receipt_waits": "3 days"}
+
+
 def first_matches(log: DataFrame) -> DataFrame:
-    found = reconcile_first(log, "tx", "ts", "side", "row", pay_waits="5 days", receipt_waits="3 days")
+    return _flat(reconcile_first(log, "tx", "ts", "side", "row", **FIRST_WAITS))
+
+
+def first_match_writer(path: str, log: DataFrame, delay: str) -> BatchWriter:
+    """The same for a stream of the columns of `log`."""
+    return carried.first_match_writer(path, log, delay, "tx", "ts", "side", "row", flat=_flat, **FIRST_WAITS)
+
+
+def _flat(found: DataFrame) -> DataFrame:
     return found.select(
         "tx", F.col("pay.ts").alias("pay_ts"), F.col("pay.party").alias("o_custkey"),
         F.col("receipt.ts").alias("receipt_ts"), F.col("receipt.party").alias("l_suppkey"), "channel",

@@ -229,11 +229,15 @@ def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_tx_reconcile_first(spark: SparkSession, sf: str) -> DataFrame:
     """One log of both sides: first in, first out for each transaction."""
-    pays, receipts = orders.pays_and_receipts(spark, sf)
-    log = orders.tx_log(pays, receipts)
-    stream = bounded(to_stream_time(played_back(log, "ts", slice_edges([log.select("ts")]), "tx-log"), "ts"), "ts", DELAY)
-    rows = orders.first_matches(stream)
-    return to_table_time(run_to_table(rows, "reconcile-first").drop("batch"), "pay_ts", "receipt_ts")
+    log = orders.tx_log(*orders.pays_and_receipts(spark, sf))
+    stream = played_back(log, "ts", slice_edges([log.select("ts")]), "tx-log")
+    rows = run_to_table(
+        stream,
+        "reconcile-first",
+        schema=orders.first_matches(log).schema,
+        writer=lambda path: orders.first_match_writer(path, log, DELAY),
+    )
+    return to_table_time(rows.drop("batch"), "pay_ts", "receipt_ts")
 
 
 def stream_click_cap(spark: SparkSession, sf: str) -> DataFrame:

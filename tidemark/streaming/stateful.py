@@ -44,18 +44,28 @@ def order_states_stream(
     create, and its outcomes come when the watermark has passed its end, which also drops its state. A table gives
     all sessions at once.
     """
-    limit_us, wait_us = micros(limit), micros(limit) + micros(late_wait)
+    return session_outcomes(order_sessions(orders, order_id, ts, event_type, limit, late_wait), order_id, limit, late_wait)
+
+
+def order_sessions(orders: DataFrame, order_id: str, ts: str, event_type: str, limit: str, late_wait: str) -> DataFrame:
+    """The sessions of `order_states_stream`: `_session` (start and end), `order_id`, `_events` in event-time order."""
+    wait_us = micros(limit) + micros(late_wait)
     kind = F.col(event_type)
     is_create = kind == "create"
     stay = F.when(is_create, interval_text(wait_us + 1)).otherwise(interval_text(1))
     event = F.struct(
         epoch_us(ts).alias("us"), F.when(is_create, 0).otherwise(1).alias("is_pay")
     )
-    sessions = (
+    return (
         orders.where(kind.isin("create", "pay"))
         .groupBy(F.session_window(ts, stay).alias("_session"), order_id)
         .agg(F.array_sort(F.collect_list(event)).alias("_events"))
     )
+
+
+def session_outcomes(sessions: DataFrame, order_id: str, limit: str, late_wait: str) -> DataFrame:
+    """The result of `order_states_stream` for sessions that have ended."""
+    limit_us, wait_us = micros(limit), micros(limit) + micros(late_wait)
     events = F.col("_events")
 
     def outcome(now, i):
