@@ -37,6 +37,7 @@ from tidemark.sinks.keyed import (
 from tidemark.sources.lines import stream_lines
 from tidemark.sources.replay import played_back, slice_edges
 from tidemark.sources.tables import stream_table, table
+from tidemark.streaming import carried
 from tidemark.streaming import counts as live
 from tidemark.streaming.ads import click_cap_writer
 from tidemark.streaming.daily import bitmap_counts, bitmap_table, bitmap_writer, count_writer, daily_counts, top_list_writer
@@ -188,12 +189,14 @@ def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("pay").alias("event_type"),
         F.col("l_shipdate").alias("ts"),
     )
-    edges = slice_edges([creates.select("ts"), pays.select("ts")])
-    log = played_back(creates.unionByName(pays), "ts", edges, "order-log")
-    states = order_states_stream(
-        bounded(to_stream_time(log, "ts"), "ts", DELAY), "order_id", "ts", "event_type", limit="90 days", late_wait="400 days"
+    both = creates.unionByName(pays)
+    rows = run_to_table(
+        played_back(both, "ts", slice_edges([both.select("ts")]), "order-log"),
+        "order-pay",
+        schema="order_id bigint, channel string, result_msg string",
+        writer=lambda path: carried.order_states_writer(path, both, DELAY, "order_id", "ts", "event_type", limit="90 days", late_wait="400 days"),
     )
-    return run_to_table(states, "order-pay").drop("batch")
+    return rows.drop("batch")
 
 
 def pay_receipt_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
