@@ -6,8 +6,9 @@ A query that appends only closed windows is checked with the same cut in SQL (se
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -209,11 +210,38 @@ def pay_receipt_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
     )
 
 
+def pay_receipt_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides in one log, played back in event-time order."""
+    log = orders.tx_log(*orders.pays_and_receipts(spark, sf)).select("tx", "ts", "side", "row.party")
+    return played_back(log, "ts", slice_edges([log.select("ts")]), "tx-log")
+
+
+def sides_of(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pays and receipts of a log, and what else its rows have."""
+    names = {"pay": {"ts": "pay_ts", "party": "o_custkey"}, "receipt": {"ts": "receipt_ts", "party": "l_suppkey"}}
+    return tuple(log.where(F.col("side") == side).drop("side").withColumnsRenamed(new) for side, new in names.items())
+
+
+def _is_side() -> list[Column]:
+    """A watermark over both sides waits for the slower one."""
+    return [F.col("side") == side for side in ("pay", "receipt")]
+
+
+def _log_joined(spark: SparkSession, sf: str, label: str, join: Callable[[DataFrame, DataFrame], DataFrame], reach: str) -> DataFrame:
+    rows = run_to_table(
+        pay_receipt_log(spark, sf),
+        label,
+        schema=join(*orders.pays_and_receipts(spark, sf)).schema,
+        writer=lambda path: carried.join_writer(path, "ts", DELAY, sides_of, join, reach, _is_side()),
+    )
+    return rows.drop("batch")
+
+
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf)
-    pairs = interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
-    rows = run_to_table(pairs, "interval-join").drop("batch")
-    return to_table_time(rows, "pay_ts", "receipt_ts")
+    def pairs(pays, receipts):
+        return interval_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "-15 days", "20 days")
+
+    return to_table_time(_log_joined(spark, sf, "interval-join", pairs, "20 days"), "pay_ts", "receipt_ts")
 
 
 def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
