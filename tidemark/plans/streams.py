@@ -253,9 +253,14 @@ def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs come when they meet, one-sided rows when the watermark has passed their wait."""
-    pays, receipts = pay_receipt_streams(spark, sf)
-    rows = reconcile(pays, receipts, "tx", "pay_ts", "receipt_ts", pay_waits="5 days", receipt_waits="3 days")
-    return to_table_time(run_to_table(rows, "reconcile").drop("batch"), "pay_ts", "receipt_ts")
+    waits = {"pay_waits": "5 days", "receipt_waits": "3 days"}
+    rows = run_to_table(
+        pay_receipt_log(spark, sf),
+        "reconcile",
+        schema=reconcile(*orders.pays_and_receipts(spark, sf), "tx", "pay_ts", "receipt_ts", **waits).schema,
+        writer=lambda path: carried.reconcile_writer(path, "ts", DELAY, sides_of, "tx", "pay_ts", "receipt_ts", _is_side(), **waits),
+    )
+    return to_table_time(rows.drop("batch"), "pay_ts", "receipt_ts")
 
 
 def stream_tx_reconcile_first(spark: SparkSession, sf: str) -> DataFrame:
