@@ -200,16 +200,6 @@ def stream_order_pay(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop("batch")
 
 
-def pay_receipt_streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Both logs in step, each with its watermark; together they wait for the slower one."""
-    pays, receipts = orders.pays_and_receipts(spark, sf)
-    edges = slice_edges([pays.select("pay_ts"), receipts.select("receipt_ts")])
-    return (
-        bounded(to_stream_time(played_back(pays, "pay_ts", edges, "pays"), "pay_ts"), "pay_ts", DELAY),
-        bounded(to_stream_time(played_back(receipts, "receipt_ts", edges, "receipts"), "receipt_ts"), "receipt_ts", DELAY),
-    )
-
-
 def pay_receipt_log(spark: SparkSession, sf: str) -> DataFrame:
     """Both sides in one log, played back in event-time order."""
     log = orders.tx_log(*orders.pays_and_receipts(spark, sf)).select("tx", "ts", "side", "row.party")
@@ -245,9 +235,10 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_window_join(spark: SparkSession, sf: str) -> DataFrame:
-    pays, receipts = pay_receipt_streams(spark, sf)
-    pairs = window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
-    rows = run_to_table(pairs, "window-join").drop("batch")
+    def pairs(pays, receipts):
+        return window_join(pays, receipts, "tx", "pay_ts", "receipt_ts", "15 days")
+
+    rows = _log_joined(spark, sf, "window-join", pairs, "15 days")
     return to_table_time(rows, "pay_ts", "receipt_ts", "window_start", "window_end")
 
 
