@@ -52,7 +52,7 @@ def order_tables(spark, folder):
 
 
 @pytest.mark.parametrize(
-    "name", ["stream_tx_reconcile_first", "stream_order_pay", "stream_interval_join", "stream_tx_reconcile", "stream_window_join"]
+    "name", ["stream_tx_reconcile_first", "stream_order_pay", "stream_interval_join", "stream_tx_reconcile", "stream_window_join", "stream_temp_jump"]
 )
 def test_no_row_goes_through_a_state_store(spark, monkeypatch, tmp_path, name):
     """The rows of the SQL come from several micro-batches, none of which keeps rows in a state store."""

@@ -43,7 +43,6 @@ from tidemark.streaming import counts as live
 from tidemark.streaming.ads import click_cap_writer
 from tidemark.streaming.daily import bitmap_counts, bitmap_table, bitmap_writer, count_writer, daily_counts, top_list_writer
 from tidemark.streaming.runner import last_batch, run_to_table, start
-from tidemark.streaming.stateful import order_states_stream, temperature_jumps_stream
 from tidemark.streaming.watermarks import ascending, bounded, late_writer
 
 
@@ -168,10 +167,14 @@ def stream_sensor_minby(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_temp_jump(spark: SparkSession, sf: str) -> DataFrame:
-    jumps = temperature_jumps_stream(
-        bounded(events(spark, sf), "ts", "1 hour"), "user_id", "ts", "event_id", "value"
+    readings = events(spark, sf).select("user_id", "ts", "event_id", F.col("value").alias("temperature"))
+    rows = run_to_table(
+        readings,
+        "temp-jump",
+        schema="user_id bigint, ts timestamp, last_temperature double, temperature double, msg string",
+        writer=lambda path: carried.jumps_writer(path, "ts", "1 hour", "user_id", "event_id", "temperature"),
     )
-    return to_table_time(run_to_table(jumps, "temp-jump").drop("batch"), "ts")
+    return to_table_time(rows.drop("batch"), "ts")
 
 
 #: Delay of the streams that are played back in the order of event time.
