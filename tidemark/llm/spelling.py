@@ -40,7 +40,8 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sho
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"),
         F.explode(F.regexp_extract_all(text_of(text), F.lit(f"({RUN})"), F.lit(1))).alias("run"),
     ).where(F.length("run") >= shortest)
-    runs = runs.select("id", F.translate("run", UPPER, LOWER).alias("run"))
+    # most runs have no capitals, and `translate` looks up every letter
+    runs = runs.select("id", F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(F.translate("run", UPPER, LOWER)).alias("run"))
     runs = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
     at = (F.col("h") % F.length("run")).cast("int")
     less = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
